@@ -27,6 +27,8 @@ from ticklake.functions.session import cut_lineage, shuffle_partitions
 
 SLICE = "_slice"
 KEY = "_key"
+STORED = "_stored"
+MARK = "_mark"
 
 # Rows of one key that a single task may sort or fold.
 GROUP_ROWS = 5_000_000
@@ -164,69 +166,135 @@ def _segments(keys: pa.Array) -> list[int]:
     return [0, *[i + 1 for i in starts], len(keys)]
 
 
-def _walk(batches, step: Step, init, inputs, n_outputs, seeds):
-    """Fold key after key through sorted batches, yielding (batch, key, state, outputs)."""
-    key, state, seen_slice = None, None, None
-    start = json.dumps(init)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        keys = batch.column(batch.schema.get_field_index(KEY))
-        columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in inputs]
-        outputs: list[list] = [[] for _ in range(n_outputs)]
-        slice_no = None
-        if seeds is not None:
-            slice_no = batch.column(batch.schema.get_field_index(SLICE))[0].as_py()
-        cuts = _segments(keys)
-        for low, high in zip(cuts, cuts[1:]):
-            this = keys[low].as_py()
-            if slice_no != seen_slice:
-                key, seen_slice = this, slice_no
-                state = json.loads(seeds.get(slice_no, start))
-            elif this != key:
-                key, state = this, json.loads(start)
-            state = step(state, [c[low:high] for c in columns], outputs)
-        yield batch, key, state, outputs
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+class _Walker:
+    """Folds sorted batches key after key.
 
+    ``seeds`` maps a slice to the state its first key enters with (None when rows are
+    not sliced). ``ended`` collects the state after the last row of each key.
+    """
 
-def _emit(step, init, inputs, out_fields, keep, seeds):
-    kinds = [f.type for f in out_fields]
+    def __init__(self, step: Step, init, inputs, n_outputs: int, seeds, marked: bool):
+        self.step, self.inputs, self.n_outputs = step, inputs, n_outputs
+        self.start, self.seeds, self.marked = json.dumps(init), seeds, marked
+        self.key = self.slice_no = self.state = None
+        self.ended: list[tuple[str, int, str]] = []
+
+    def _end_key(self) -> None:
+        if self.key is not None:
+            self.ended.append((self.key, self.slice_no or 0, json.dumps(self.state)))
+
+    def take_ended(self) -> list[tuple[str, int, str]]:
+        ended, self.ended = self.ended, []
+        return ended
+
+    def finish(self) -> list[tuple[str, int, str]]:
+        self._end_key()
+        return self.take_ended()
+
+    def fold(self, batch: pa.RecordBatch) -> list[list]:
+        keys = _column(batch, KEY)
+        columns = [_column(batch, name).to_pylist() for name in self.inputs]
+        stored = _column(batch, STORED).to_pylist() if self.marked else None
+        slice_no = None if self.seeds is None else _column(batch, SLICE)[0].as_py()
+        outputs: list[list] = [[] for _ in range(self.n_outputs)]
+        cuts = _segments(keys)
+        for low, high in zip(cuts, cuts[1:]):
+            key = keys[low].as_py()
+            if key != self.key or slice_no != self.slice_no:
+                self._end_key()
+                entered = self.start
+                if slice_no != self.slice_no:
+                    entered = self.seeds.get(slice_no, self.start)
+                self.key, self.slice_no, self.state = key, slice_no, json.loads(entered)
+            if self.marked and stored[low] is not None:
+                self.state = json.loads(stored[low])
+                for values in outputs:
+                    values.append(None)
+                low += 1
+            if low < high:
+                self.state = self.step(self.state, [c[low:high] for c in columns], outputs)
+        return outputs
+
+
+def _emit(walker_args, out_fields, keep):
+    """Rows with the outputs of the fold."""
 
     def run(batches):
-        for batch, _, _, outputs in _walk(batches, step, init, inputs, len(kinds), seeds):
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in keep]
-            added = [pa.array(values, type=kind) for values, kind in zip(outputs, kinds)]
+        walker = _Walker(*walker_args)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            outputs = walker.fold(batch)
+            walker.take_ended()
+            added = [pa.array(v, type=f.type) for v, f in zip(outputs, out_fields)]
             yield pa.RecordBatch.from_arrays(
-                [*kept, *added], names=[*keep, *[f.name for f in out_fields]]
+                [*[_column(batch, name) for name in keep], *added],
+                names=[*keep, *[f.name for f in out_fields]],
             )
 
     return run
 
 
-def _summaries(step, init, inputs, n_outputs, seeds):
+def _emit_states(walker_args):
+    """One row per key and slice with the state after its last row there."""
+
+    def rows(ended):
+        keys, slices, states = zip(*ended)
+        return pa.RecordBatch.from_pydict(
+            {
+                KEY: pa.array(keys, pa.string()),
+                SLICE: pa.array(slices, pa.int32()),
+                "state": pa.array(states, pa.string()),
+            }
+        )
+
+    def run(batches):
+        walker = _Walker(*walker_args)
+        for batch in batches:
+            if batch.num_rows:
+                walker.fold(batch)
+                ended = walker.take_ended()
+                if ended:
+                    yield rows(ended)
+        ended = walker.finish()
+        if ended:
+            yield rows(ended)
+
+    return run
+
+
+def _emit_summary(walker_args):
     """One row per slice: its first and last key and the state after its last row."""
 
     def run(batches):
-        first = last = slice_no = state = None
-        for batch, key, state, _ in _walk(batches, step, init, inputs, n_outputs, seeds):
+        walker = _Walker(*walker_args)
+        first = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
             if first is None:
-                first = batch.column(batch.schema.get_field_index(KEY))[0].as_py()
-                slice_no = batch.column(batch.schema.get_field_index(SLICE))[0].as_py()
-            last = key
+                first = _column(batch, KEY)[0].as_py()
+            walker.fold(batch)
+            walker.take_ended()
         if first is not None:
+            (last, slice_no, state), *_ = walker.finish()
             yield pa.RecordBatch.from_pydict(
                 {
                     SLICE: pa.array([slice_no], pa.int32()),
                     "first_key": [first],
                     "last_key": [last],
-                    "state": [json.dumps(state)],
+                    "state": [state],
                 }
             )
 
     return run
 
 
-def _settle_seeds(slices: DataFrame, step, init, inputs, n_outputs) -> dict[int, str]:
+def _settle_seeds(slices: DataFrame, step, init, inputs, n_outputs, marked) -> dict[int, str]:
     """States that enter each slice, found by repeating slices whose input changed.
 
     Every slice is first folded from the initial state; then each is folded again from
@@ -235,14 +303,15 @@ def _settle_seeds(slices: DataFrame, step, init, inputs, n_outputs) -> dict[int,
     one row per slice reaches the driver, so this is bounded by the partition count.
     """
     schema = f"{SLICE} int, first_key string, last_key string, state string"
-    slim = slices.select(KEY, SLICE, *inputs)
+    slim = slices.select(KEY, SLICE, *([STORED] if marked else []), *inputs)
     start = json.dumps(init)
     seeds: dict[int, str] = {}
     finals: dict[int, tuple[str, str, str]] = {}
     pending: list[int] | None = None
     while pending is None or pending:
         todo = slim if pending is None else slim.filter(F.col(SLICE).isin(pending))
-        rows = todo.mapInArrow(_summaries(step, init, inputs, n_outputs, seeds), schema).collect()
+        summary = _emit_summary((step, init, inputs, n_outputs, seeds, marked))
+        rows = todo.mapInArrow(summary, schema).collect()
         finals.update({r[SLICE]: (r["first_key"], r["last_key"], r["state"]) for r in rows})
         wanted: dict[int, str] = {}
         previous = None
@@ -256,7 +325,7 @@ def _settle_seeds(slices: DataFrame, step, init, inputs, n_outputs) -> dict[int,
     return seeds
 
 
-def fold(
+def fold_with_states(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -265,11 +334,12 @@ def fold(
     inputs: dict[str, Column],
     outputs: list[T.StructField],
     group_rows: int | None = None,
-) -> DataFrame:
-    """Add the outputs of a sequential fold over the rows of each key, in order.
+    start: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``fold``, and the state of every key after its last row as (_key, state).
 
-    Pass slim rows: everything in ``df`` travels to Python in Arrow batches. Batches are
-    streamed with the state carried along, so memory does not grow with the group.
+    ``start`` has the same shape and gives the states to go on from; a key that occurs
+    only there keeps its state.
     """
     limit = group_rows or GROUP_ROWS
     names = [f"_in_{name}" for name in inputs]
@@ -277,21 +347,51 @@ def fold(
         key = F.concat(F.lit("="), F.col(keys[0]).cast("string"))
     else:
         key = F.to_json(F.struct(*keys))
-    prepared = df.withColumns(
+    rows = df.withColumns(
         {KEY: F.coalesce(key, F.lit("")), **{f"_in_{n}": c for n, c in inputs.items()}}
     )
-    schema = T.StructType([*df.schema.fields, *outputs])
-    fields = [
-        pa.field(f.name, _ARROW[f.dataType.simpleString()]) for f in outputs
-    ]
+    marked = start is not None
+    sort = [KEY, *order]
+    if marked:
+        # A stored state is one more row, ahead of the others of its key.
+        rows = rows.withColumns({STORED: F.lit(None).cast("string"), MARK: F.lit(1)})
+        states = start.select(KEY, F.col("state").alias(STORED), F.lit(0).alias(MARK))
+        rows = rows.unionByName(states, allowMissingColumns=True)
+        sort = [KEY, MARK, *order]
     largest, total = group_sizes(df, keys)
     seeds = None
     if largest <= limit:
-        rows = prepared.repartition(KEY).sortWithinPartitions(KEY, *order)
+        rows = rows.repartition(KEY).sortWithinPartitions(*sort)
     else:
-        rows = _range_slices(prepared, [KEY, *order], total, limit)
-        seeds = _settle_seeds(rows, step, init, names, len(fields))
-    return rows.mapInArrow(_emit(step, init, names, fields, df.columns, seeds), schema)
+        rows = _range_slices(rows, sort, total, limit)
+        seeds = _settle_seeds(rows, step, init, names, len(outputs), marked)
+    arguments = (step, init, names, len(outputs), seeds, marked)
+    keep = [*df.columns, *([MARK] if marked else [])]
+    kept = [T.StructField(f.name, f.dataType) for f in rows.select(*keep).schema.fields]
+    fields = [pa.field(f.name, _ARROW[f.dataType.simpleString()]) for f in outputs]
+    out = rows.mapInArrow(_emit(arguments, fields, keep), T.StructType([*kept, *outputs]))
+    if marked:
+        out = out.filter(F.col(MARK) == 1).drop(MARK)
+    ended = rows.mapInArrow(_emit_states(arguments), f"{KEY} string, {SLICE} int, state string")
+    return out, ended.groupBy(KEY).agg(F.max_by("state", SLICE).alias("state"))
+
+
+def fold(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    step: Step,
+    init,
+    inputs: dict[str, Column],
+    outputs: list[T.StructField],
+    group_rows: int | None = None,
+) -> DataFrame:
+    """Add the outputs of a sequential fold over the rows of each key, in order.
+
+    Pass slim rows: everything in ``df`` travels to Python in Arrow batches. Batches are
+    streamed with the state carried along, so memory does not grow with the group.
+    """
+    return fold_with_states(df, keys, order, step, init, inputs, outputs, group_rows)[0]
 
 
 _ARROW = {

@@ -157,8 +157,12 @@ def tick_transactions(
         ],
     )
     with_rows = head.join(renamed, "tick_number")
-    without = head.join(rows.select("tick_number"), "tick_number", "left_anti")
-    return with_rows.unionByName(without, allowMissingColumns=True)
+    return with_rows.unionByName(_without_rows(head, rows), allowMissingColumns=True)
+
+
+def _without_rows(head: DataFrame, rows: DataFrame) -> DataFrame:
+    """Ticks that have none of the rows. The distinct numbers are combined on the map side."""
+    return head.join(rows.select("tick_number").distinct(), "tick_number", "left_anti")
 
 
 def tick_documents(
@@ -182,7 +186,7 @@ def tick_documents(
         .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("transactions"))
     )
     with_rows = head.join(nested, "tick_number")
-    without = head.join(rows.select("tick_number"), "tick_number", "left_anti").withColumns(
+    without = _without_rows(head, live(_only(transactions, numbers))).withColumns(
         {
             "part": F.lit(0).cast("bigint"),
             "transactions": F.array().cast(nested.schema["transactions"].dataType),

@@ -261,10 +261,21 @@ def tick_issues(ticks: DataFrame, now: datetime, strict: bool = False) -> DataFr
     return ticks.withColumn("issues", F.concat(*_stateless(ticks, now, strict)))
 
 
+def issue_rows(checked: DataFrame) -> DataFrame:
+    """One row per issue, with its ``place`` in the tick.
+
+    The outer form is on purpose: for the inner one Spark adds a filter on the size of
+    the array below the projection, and all rules would be evaluated twice.
+    """
+    kept = [c for c in checked.columns if c != "issues"]
+    rows = checked.select(*kept, F.posexplode_outer("issues").alias("place", "issue"))
+    return rows.filter(F.col("issue").isNotNull()).select(*kept, "place", "issue.*")
+
+
 # --- sequence rules -----------------------------------------------------------------
 
 
-def _sequence_step(state, columns, outputs):
+def sequence_step(state, columns, outputs):
     """State is the last valid tick number and time. Only a tick without any issue moves
     it on, so after a jump beyond the limit all later ticks keep failing."""
     last, last_time = state
@@ -333,7 +344,7 @@ def time_sequence_issues(time: Column, last_time: Column) -> Column:
     )
 
 
-_STATE_FIELDS = [
+STATE_FIELDS = [
     T.StructField("last_number", T.LongType()),
     T.StructField("last_time", T.LongType()),
     T.StructField("accepted", T.BooleanType()),
@@ -354,10 +365,10 @@ def sequence_state(
             slim,
             ["source_id"],
             ["arrival"],
-            _sequence_step,
+            sequence_step,
             [0, 0],
             {"number": F.col("tick_number"), "time": F.col("timestamp"), "good": F.col("good")},
-            _STATE_FIELDS,
+            STATE_FIELDS,
             group_rows,
         )
     if mode != "lag":

@@ -107,6 +107,21 @@ def transactions_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The same with processed_at drawn together to 30 hours, for tables with hourly folders.
+TRANSACTIONS_SQUEEZED = TRANSACTIONS_DENSE.replace(
+    "ts AS processed_at",
+    "make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 24) AS processed_at",
+)
+
+
+def transactions_squeezed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    origin = F.lit(1704067200000000)
+    squeezed = F.timestamp_micros(origin + F.floor((micros("processed_at") - origin) / 24))
+    return transactions_dense(spark, sf_dir).withColumn(
+        "processed_at", squeezed.cast("timestamp_ntz")
+    )
+
+
 TICKS_DENSE = """ticks AS (
   SELECT epoch_us(ts) // 60000000 AS tick_number, max(epoch_us(ts)) AS timestamp_us,
     CAST(count(*) AS INTEGER) AS tx_count, max(ts) AS processed_at, 1 AS version,

@@ -513,6 +513,8 @@ _TICK_SUMMARY = """SELECT time_bucket(INTERVAL 300 SECOND, processed_at, TIMESTA
     AS bucket, tick_number, count(*) AS tx_count, count(DISTINCT public_key) AS unique_signers,
   avg(payload_size) AS avg_payload_size, CAST(sum(payload_size) AS BIGINT) AS total_payload_bytes
 FROM transactions"""
+_SQUEEZED = f"WITH {a.TRANSACTIONS_SQUEEZED}"
+SQUEEZED_SQL = f"{_SQUEEZED} {_HOURLY_TRANSACTIONS} GROUP BY 1, 2"
 ROLLUP_SQL = {
     "ticks_hourly": f"{_DENSE} {_HOURLY_TICKS} GROUP BY 1",
     "transactions_hourly": f"{_DENSE} {_HOURLY_TRANSACTIONS} GROUP BY 1, 2",

@@ -112,8 +112,8 @@ _SEQUENCE_ISSUES = """sequence_issues AS (
 
 
 def _exploded(checked):
-    return checked.select("arrival", F.posexplode("issues").alias("place", "issue")).select(
-        "arrival", "place", "issue.*"
+    return q.issue_rows(checked.select("arrival", "issues")).select(
+        "arrival", "place", "field", "value", "rule", "message"
     )
 
 

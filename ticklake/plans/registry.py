@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from ticklake.plans import candle_plans, chain_plans, metric_plans, price_plans, quality_plans
+from ticklake.plans import (
+    candle_plans,
+    chain_plans,
+    metric_plans,
+    price_plans,
+    quality_plans,
+    stream_plans,
+)
 
-_MODULES = [candle_plans, chain_plans, quality_plans, price_plans, metric_plans]
+_MODULES = [candle_plans, chain_plans, quality_plans, price_plans, metric_plans, stream_plans]
 
 
 def queries() -> dict:

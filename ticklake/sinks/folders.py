@@ -20,22 +20,19 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
-def partitions(spark: SparkSession, path: str, columns: list[str]) -> list[tuple[dict, str]]:
-    """The partition values and paths below a table, down to the given columns."""
-    found = [({}, path)]
-    for column in columns:
-        deeper = []
-        for values, folder in found:
-            jvm_path, fs = _path(spark, folder)
-            if not fs.exists(jvm_path):
-                continue
-            for status in fs.listStatus(jvm_path):
-                name = status.getPath().getName()
-                if status.isDirectory() and name.startswith(f"{column}="):
-                    value = name.split("=", 1)[1].replace("%3A", ":")
-                    deeper.append(({**values, column: value}, status.getPath().toString()))
-        found = deeper
-    return found
+def partitions(
+    spark: SparkSession, path: str, columns: list[str], first: str = "*"
+) -> list[tuple[dict, str]]:
+    """The partition values and paths below a table, down to the given columns. ``first``
+    is a glob for the values of the first column."""
+    pattern = "/".join(f"{c}={first if i == 0 else '*'}" for i, c in enumerate(columns))
+    glob, fs = _path(spark, f"{path}/{pattern}")
+    found = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(glob))
+    names = [str(p.toString()) for p in found] if found else []
+    depth = len(columns)
+    return [
+        (dict(part.split("=", 1) for part in name.split("/")[-depth:]), name) for name in names
+    ]
 
 
 def file_count(spark: SparkSession, path: str) -> int:

@@ -52,19 +52,15 @@ def refresh(
             "p_minute": F.minute(rollup.bucket),
         }
     )
-    staged = scratch_path(spark, rollup.name)
-    fresh.write.parquet(staged)
-    ready = spark.read.schema(fresh.schema).parquet(staged)
-    replace_partitions(ready, path, _ROLLUP_PARTITIONS)
     # At most one row per bucket of the range comes to the driver.
-    filled = {tuple(r) for r in ready.select(*_ROLLUP_PARTITIONS).distinct().collect()}
+    filled = {tuple(r) for r in fresh.select(*_ROLLUP_PARTITIONS).distinct().collect()}
+    replace_partitions(fresh, path, _ROLLUP_PARTITIONS)
     for values, folder in folders.partitions(spark, path, _ROLLUP_PARTITIONS):
         at = datetime.combine(
             date.fromisoformat(values["p_date"]), datetime.min.time()
         ) + timedelta(hours=int(values["p_hour"]), minutes=int(values["p_minute"]))
         if since <= at < until and (at.date(), at.hour, at.minute) not in filled:
             folders.delete(spark, folder)
-    folders.delete(spark, staged)
 
 
 def _kind(source: DataFrame) -> str:

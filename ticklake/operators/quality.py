@@ -186,6 +186,25 @@ def _entry_issues(entry: Column, index: Column) -> Column:
     return F.filter(F.array(*placed), lambda p: p["issue"].isNotNull())
 
 
+def _entry_is_broken(entry: Column) -> Column:
+    """Whether an entry has any issue of its own: the same conditions, without the texts.
+    Most entries have none, and for those this is all that is evaluated."""
+    body = entry["transaction"]
+
+    def sized(data: Column, size: int) -> Column:
+        return F.coalesce(F.octet_length(data), F.lit(0)).isin(0, size)
+
+    sound = (
+        F.coalesce(entry["tx_hash"].rlike(_HASH), F.lit(False))
+        & (null_to_empty(body["tx_id"]) != "")
+        & (F.coalesce(F.octet_length(body["payload"]), F.lit(0)) > 0)
+        & sized(body["signature"], SIGNATURE_BYTES)
+        & sized(body["public_key"], PUBLIC_KEY_BYTES)
+        & (F.coalesce(body["timestamp"], F.lit(0)) != 0)
+    )
+    return entry.isNull() | body.isNull() | ~sound
+
+
 def _repeated_numbers(transactions: Column) -> Column:
     """Issues for the second and later uses of a sequence number in a tick.
 
@@ -204,7 +223,7 @@ def _repeated_numbers(transactions: Column) -> Column:
         ),
         lambda pair: pair.isNotNull(),
     )
-    ordered = F.array_sort(pairs)
+    ordered = F.sort_array(pairs)
     shared = F.greatest(F.array_size(ordered) - 1, F.lit(0))
 
     def duplicate(later: Column, earlier: Column) -> Column:
@@ -241,24 +260,59 @@ def transaction_issues(transactions: Column) -> Column:
             )
         ]
     )
-    single = F.flatten(F.transform(transactions, _entry_issues))
-    placed = F.array_sort(F.concat(single, _repeated_numbers(transactions)))
+    found = F.transform(
+        transactions,
+        lambda entry, i: F.when(_entry_is_broken(entry), _entry_issues(entry, i)),
+    )
+    single = F.flatten(F.filter(found, lambda issues: issues.isNotNull()))
+    placed = F.sort_array(F.concat(single, _repeated_numbers(transactions)))
     listed = F.coalesce(placed["issue"], F.array().cast(f"array<{_ISSUE}>"))
     return F.concat(limit, listed)
 
 
-def _stateless(ticks: DataFrame, now: datetime, strict: bool) -> tuple[Column, Column]:
-    """Issues of the timestamp, and all that follow it."""
+def is_sound(now: datetime, strict: bool = False) -> Column:
+    """Whether a nested tick breaks no rule that needs no other tick: the conditions of
+    ``tick_issues`` without places and texts, for about a fifth of the work."""
+    proof, transactions = F.col("vdf_proof"), F.col("transactions")
+    time = F.coalesce("timestamp", F.lit(0))
+    numbers = F.transform(transactions, lambda e: F.coalesce(e["sequence_number"], F.lit(0)))
+    conditions = [
+        time.between(_micros(now - PAST_LIMIT), _micros(now + FUTURE_LIMIT)),
+        time != 0,
+        proof["input"].rlike(_HASH),
+        proof["proof"] != "",
+        proof["iterations"].between(1, MAX_ITERATIONS),
+        F.coalesce(F.array_size(transactions) <= MAX_TRANSACTIONS, F.lit(True)),
+        F.coalesce(~F.exists(transactions, _entry_is_broken), F.lit(True)),
+        F.coalesce(
+            F.array_size(F.array_distinct(numbers)) == F.array_size(numbers), F.lit(True)
+        ),
+    ]
+    if strict:
+        conditions += [proof["output"].rlike(_HEX), F.col("previous_output").rlike(_HEX)]
+    sound = proof.isNotNull()
+    for condition in conditions:
+        sound = sound & F.coalesce(condition, F.lit(False))
+    return sound
+
+
+def _none() -> Column:
+    return F.array().cast(f"array<{_ISSUE}>")
+
+
+def _stateless(now: datetime, strict: bool) -> tuple[Column, Column]:
+    """Issues of the timestamp, and all that follow it, which sound ticks skip."""
     later = [proof_issues(F.col("vdf_proof"))]
     if strict:
         later.append(strict_issues(F.col("vdf_proof"), F.col("previous_output")))
     later.append(transaction_issues(F.col("transactions")))
-    return timestamp_issues(F.col("timestamp"), now), F.concat(*later)
+    rest = F.when(is_sound(now, strict), _none()).otherwise(F.concat(*later))
+    return timestamp_issues(F.col("timestamp"), now), rest
 
 
 def tick_issues(ticks: DataFrame, now: datetime, strict: bool = False) -> DataFrame:
     """Ticks with ``issues``, all broken rules that need no other tick. A projection."""
-    return ticks.withColumn("issues", F.concat(*_stateless(ticks, now, strict)))
+    return ticks.withColumn("issues", F.concat(*_stateless(now, strict)))
 
 
 def issue_rows(checked: DataFrame) -> DataFrame:
@@ -397,13 +451,12 @@ _SEQUENCE_COLUMNS = ["tick_number", "timestamp", "last_number", "last_time"]
 
 def slim_ticks(ticks: DataFrame, now: datetime, strict: bool = False) -> DataFrame:
     """What the sequence rules need to know of each tick."""
-    issues = F.concat(*_stateless(ticks, now, strict))
     return ticks.select(
         "source_id",
         "arrival",
         F.coalesce("tick_number", F.lit(0)).alias("tick_number"),
         F.coalesce("timestamp", F.lit(0)).alias("timestamp"),
-        (F.array_size(issues) == 0).alias("good"),
+        is_sound(now, strict).alias("good"),
     )
 
 
@@ -425,8 +478,8 @@ def validate(
     broken = state.select(
         "source_id", "arrival", number.alias("_number"), time.alias("_time")
     ).filter((F.array_size("_number") > 0) | (F.array_size("_time") > 0))
-    none = F.array().cast(f"array<{_ISSUE}>")
-    at_time, later = _stateless(ticks, now, strict)
+    none = _none()
+    at_time, later = _stateless(now, strict)
     joined = ticks.join(broken, ["source_id", "arrival"], "left")
     issues = F.concat(
         F.coalesce("_number", none), at_time, F.coalesce("_time", none), later

@@ -66,8 +66,9 @@ def _save_state(states: DataFrame, path: str, batch_id: int) -> None:
 
 def check_batch(
     ticks: DataFrame, root: str, batch_id: int, now: datetime, strict: bool = False
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Accepted ticks, quarantined ticks with issues, and reorganisation events.
+) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """Accepted ticks, quarantined ticks with issues, reorganisation events, and the
+    frames to unpersist once these are written.
 
     In arrival order: a tick with a critical issue of its own is quarantined; of the
     others, one that conflicts with a remembered tick is a replacement and is accepted;
@@ -75,7 +76,8 @@ def check_batch(
     the batch only the last replacement goes on. Warnings do not stop a tick.
     """
     spark = ticks.sparkSession
-    checked = quality.tick_issues(ticks, now, strict)
+    # Used by both folds and all writes of the batch; lost blocks are computed again.
+    checked = quality.tick_issues(ticks, now, strict).persist()
     critical = quality.is_critical()
     sound = checked.filter(~critical)
     seen, windows = fold_with_states(
@@ -86,7 +88,7 @@ def check_batch(
     )
     events = seen.filter(F.col("conflict_reason").isNotNull()).select(
         "source_id", "arrival", "tick_number", "old_arrival", "conflict_reason"
-    )
+    ).persist()
     slim = sound.select(
         "source_id", "arrival",
         F.coalesce("tick_number", F.lit(0)).alias("tick_number"),
@@ -106,7 +108,7 @@ def check_batch(
             quality.sequence_issues(*columns),
             quality.time_sequence_issues(F.col("timestamp"), F.col("last_time")),
         ).alias("more"),
-    ).filter(F.array_size("more") > 0)
+    ).filter(F.array_size("more") > 0).persist()
     _save_state(windows, f"{root}/state/reorg", batch_id)
     _save_state(sequences, f"{root}/state/sequence", batch_id)
 
@@ -123,7 +125,8 @@ def check_batch(
         .filter(F.col("_from").isNull() | (F.col("arrival") >= F.col("_from")))
         .select(*ticks.columns)
     )
-    return accepted, all_issues.filter(quality.is_critical()), events
+    quarantined = all_issues.filter(quality.is_critical())
+    return accepted, quarantined, events, [checked, events, broken]
 
 
 def store_batch(
@@ -167,9 +170,9 @@ def ingest_batch(
     """Check (optionally) and store one batch of nested ticks."""
     spark = ticks.sparkSession
     at = batch_time(spark, root, batch_id, clock)
-    accepted = ticks
+    accepted, held = ticks, []
     if validate:
-        accepted, quarantined, events = check_batch(ticks, root, batch_id, at, strict)
+        accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
         _write_batch(quarantined, f"{root}/quarantine", batch_id)
         found = events.withColumn("at", F.lit(at.isoformat()).cast("timestamp"))
         _write_batch(found, f"{root}/invalidations", batch_id)
@@ -177,6 +180,8 @@ def ingest_batch(
         write(accepted, batch_id)
     else:
         store_batch(accepted, root, batch_id, at)
+    for frame in held:
+        frame.unpersist()
 
 
 def ingest(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,33 @@ def _decoded(kind: str, **values: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), *parts)
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _parse(text: Column) -> Column:
+    """JSON text as a variant, else null.
+
+    Spark's parser ignores what follows the first value. In brackets such a rest is an
+    error or a second element, unless it closes the bracket itself, and then it is an
+    error in braces. Text that cannot begin a JSON value is not handed to the parser,
+    which is slow to refuse.
+    """
+
+    def only_element(listed: Column) -> Column:
+        in_braces = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+        whole = F.try_variant_get(listed, "$[1]", "variant").isNull() & (
+            ~text.contains("]") | in_braces.isNotNull()
+        )
+        return F.when(whole, F.try_variant_get(listed, "$[0]", "variant"))
+
+    in_brackets = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(
+        text.rlike(r"\A[ \t\n\r]*[\[{\"\-0-9tfn]"), _bind(in_brackets, only_element)
+    )
+
+
 def decode_bytes(payload: Column) -> Column:
     """Decode stored payload bytes; null when empty.
 
@@ -29,24 +58,29 @@ def decode_bytes(payload: Column) -> Column:
     hexadecimal in ``raw``).
     """
     text = payload.cast("string")
-    marked = F.substring(text, len(MARKER) + 1, 2147483647)
-    marked_json = F.try_parse_json(marked)
-    plain_json = F.try_parse_json(text)
+    marked = text.startswith(MARKER)
+    body = F.when(marked, F.substring(text, len(MARKER) + 1, 2147483647)).otherwise(text)
+
+    def classify(parsed: Column) -> Column:
+        return (
+            F.when(
+                marked & parsed.isNotNull(),
+                _decoded("protocol", protocol=F.lit(PROTOCOL), data=parsed),
+            )
+            .when(
+                marked,
+                _decoded(
+                    "protocol_error", protocol=F.lit(PROTOCOL), error=F.lit(BAD_JSON), raw=body
+                ),
+            )
+            .when(parsed.isNotNull(), _decoded("json", data=parsed))
+            .otherwise(_decoded("text", raw=text))
+        )
+
     return (
         F.when(payload.isNull() | (F.octet_length(payload) == 0), None)
         .when(~F.is_valid_utf8(text), _decoded("binary", raw=F.lower(F.hex(payload))))
-        .when(
-            text.startswith(MARKER) & marked_json.isNotNull(),
-            _decoded("protocol", protocol=F.lit(PROTOCOL), data=marked_json),
-        )
-        .when(
-            text.startswith(MARKER),
-            _decoded(
-                "protocol_error", protocol=F.lit(PROTOCOL), error=F.lit(BAD_JSON), raw=marked
-            ),
-        )
-        .when(plain_json.isNotNull(), _decoded("json", data=plain_json))
-        .otherwise(_decoded("text", raw=text))
+        .otherwise(_bind(_parse(body), classify))
     )
 
 
@@ -62,20 +96,21 @@ def decode_hex(payload_hex: Column) -> Column:
 
 def decoded_json(decoded: Column) -> Column:
     """The decoded payload as one JSON document, comparable and groupable."""
-    kind = decoded["kind"]
 
     def document(**parts: Column) -> Column:
         return F.to_json(F.struct(*[c.alias(n) for n, c in sorted(parts.items())]))
 
-    return (
-        F.when(kind == "json", F.to_json(decoded["data"]))
-        .when(kind == "protocol", document(protocol=decoded["protocol"], data=decoded["data"]))
-        .when(
-            kind == "protocol_error",
-            document(
-                protocol=decoded["protocol"], error=decoded["error"], raw_json=decoded["raw"]
-            ),
+    def render(d: Column) -> Column:
+        kind, raw = d["kind"], d["raw"]
+        return (
+            F.when(kind == "json", F.to_json(d["data"]))
+            .when(kind == "protocol", document(protocol=d["protocol"], data=d["data"]))
+            .when(
+                kind == "protocol_error",
+                document(protocol=d["protocol"], error=d["error"], raw_json=raw),
+            )
+            .when(kind == "invalid_hex", document(error=d["error"], raw=raw))
+            .when(kind.isin("text", "binary"), document(type=kind, data=raw))
         )
-        .when(kind == "invalid_hex", document(error=decoded["error"], raw=decoded["raw"]))
-        .when(kind.isin("text", "binary"), document(type=kind, data=decoded["raw"]))
-    )
+
+    return _bind(decoded, render)

@@ -233,7 +233,7 @@ def _sanitized_sql(column: str) -> str:
     f"SELECT doc_id, {_sanitized_sql('text')} AS text FROM documents",
 )
 def _sanitized(spark, sf_dir):
-    documents = a.read(spark, sf_dir, "documents")
+    documents = a.spread(a.read(spark, sf_dir, "documents"))
     return documents.select("doc_id", sanitize(F.col("text"), max_bytes=None).alias("text"))
 
 
@@ -244,7 +244,7 @@ def _sanitized(spark, sf_dir):
 FROM pages""",
 )
 def _sanitized_pages(spark, sf_dir):
-    return a.read(spark, sf_dir, "pages").select(
+    return a.spread(a.read(spark, sf_dir, "pages")).select(
         "page_id",
         sanitize_url_param(F.col("url"), max_bytes=None).alias("url"),
         sanitize_json(F.col("html"), max_bytes=None).alias("html"),

@@ -170,8 +170,11 @@ def ingest_batch(
     """Check (optionally) and store one batch of nested ticks."""
     spark = ticks.sparkSession
     at = batch_time(spark, root, batch_id, clock)
+    # Read once for the several writes of the batch.
     accepted, held = ticks, []
-    if validate:
+    if not validate:
+        held = [ticks.persist()]
+    else:
         accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
         _write_batch(quarantined, f"{root}/quarantine", batch_id)
         found = events.withColumn("at", F.lit(at.isoformat()).cast("timestamp"))

@@ -13,4 +13,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark():
     from oracle import session
 
-    return session()
+    started = session()
+    started.conf.set("spark.sql.shuffle.partitions", "2")
+    return started

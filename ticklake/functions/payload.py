@@ -24,12 +24,16 @@ def _decoded(kind: str, **values: Column) -> Column:
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body mentions it."""
+    """``body`` of a value that is computed once, however often the body mentions it.
+
+    The body may use nothing but its argument: Spark resolves other column names in it
+    against the aliases of the same select first.
+    """
     return F.transform(F.array(value), body)[0]
 
 
 def _parse(text: Column) -> Column:
-    """JSON text as a variant, else null.
+    """JSON text (a bound value) as a variant, else null.
 
     Spark's parser ignores what follows the first value. In brackets such a rest is an
     error or a second element, unless it closes the bracket itself, and then it is an
@@ -57,30 +61,36 @@ def decode_bytes(payload: Column) -> Column:
     value, ``text`` for other text and ``binary`` for bytes that are not UTF-8 (kept as
     hexadecimal in ``raw``).
     """
-    text = payload.cast("string")
-    marked = text.startswith(MARKER)
-    body = F.when(marked, F.substring(text, len(MARKER) + 1, 2147483647)).otherwise(text)
 
-    def classify(parsed: Column) -> Column:
-        return (
-            F.when(
-                marked & parsed.isNotNull(),
-                _decoded("protocol", protocol=F.lit(PROTOCOL), data=parsed),
-            )
-            .when(
-                marked,
+    def marked(body: Column) -> Column:
+        def classify(parsed: Column) -> Column:
+            return F.when(
+                parsed.isNotNull(), _decoded("protocol", protocol=F.lit(PROTOCOL), data=parsed)
+            ).otherwise(
                 _decoded(
                     "protocol_error", protocol=F.lit(PROTOCOL), error=F.lit(BAD_JSON), raw=body
-                ),
+                )
             )
-            .when(parsed.isNotNull(), _decoded("json", data=parsed))
-            .otherwise(_decoded("text", raw=text))
-        )
 
+        return _bind(_parse(body), classify)
+
+    def plain(text: Column) -> Column:
+        def classify(parsed: Column) -> Column:
+            return F.when(parsed.isNotNull(), _decoded("json", data=parsed)).otherwise(
+                _decoded("text", raw=text)
+            )
+
+        return _bind(_parse(text), classify)
+
+    text = payload.cast("string")
     return (
         F.when(payload.isNull() | (F.octet_length(payload) == 0), None)
         .when(~F.is_valid_utf8(text), _decoded("binary", raw=F.lower(F.hex(payload))))
-        .otherwise(_bind(_parse(body), classify))
+        .when(
+            text.startswith(MARKER),
+            _bind(F.substring(text, len(MARKER) + 1, 2147483647), marked),
+        )
+        .otherwise(_bind(text, plain))
     )
 
 

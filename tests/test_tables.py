@@ -260,21 +260,32 @@ def rows_of(df):
     return {tuple(r) for r in df.collect()}
 
 
-def test_streams_equal_batches(spark):
+def test_thin_stream(spark):
     _, seen = observed(spark, 11)
-    assert streamed(spark, seen, ["arrival"], 4, keyed.thin_stream) == rows_of(prices.thin(seen))
+    assert streamed(spark, seen, ["arrival"], 3, keyed.thin_stream) == rows_of(prices.thin(seen))
 
+
+@pytest.mark.parametrize("idle_ms", [None, keyed.IDLE_MS])
+def test_admit_stream(spark, idle_ms):
+    _, seen = observed(spark, 11)
     visits = seen.select(F.col("market_id").alias("key"), F.col("poll_time").alias("ts"),
                          F.col("arrival").alias("event_id"))
-    assert streamed(spark, visits, ["event_id"], 3, lambda s: keyed.admit_stream(s, 0.05, 3)) == rows_of(
-        metrics.admit(visits, 0.05, 3)
-    )
+    # With a time limit Spark would run empty batches for ever to look at the clock.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        got = streamed(
+            spark, visits, ["event_id"], 2, lambda s: keyed.admit_stream(s, 0.05, 3, idle_ms)
+        )
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    assert got == rows_of(metrics.admit(visits, 0.05, 3))
+
 
+def test_reorg_and_sequence_streams(spark):
     sent = spark.createDataFrame(copies(12), COPY)
     assert streamed(spark, sent, ["arrival"], 3, lambda s: keyed.reorg_stream(s, 3)) == rows_of(
         reorg.windowed_events(sent, 3)
     )
-
     slim = sent.select("source_id", "arrival", "tick_number", F.col("arrival").alias("timestamp"),
                        (F.col("tx_count") == 1).alias("good"))
     assert streamed(spark, slim, ["arrival"], 3, keyed.sequence_stream) == rows_of(

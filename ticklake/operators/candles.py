@@ -52,6 +52,18 @@ def bucket_start(ts: Column | str, width: timedelta) -> Column:
     return F.window(ts, f"{int(width.total_seconds())} seconds")["start"]
 
 
+def bucket_key(rows: DataFrame, time: str, width: timedelta, name: str) -> Column:
+    """What to group by for buckets of a time column. A stream must be grouped by the
+    whole window, which carries the watermark; for tables its start is enough."""
+    window = F.window(time, f"{int(width.total_seconds())} seconds")
+    return (window if rows.isStreaming else window["start"]).alias(name)
+
+
+def named_bucket(grouped: DataFrame, name: str) -> DataFrame:
+    """A grouped frame with the start of the bucket under the name of its key."""
+    return grouped.withColumn(name, F.col(name)["start"]) if grouped.isStreaming else grouped
+
+
 def _ntz(at: datetime) -> Column:
     return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
@@ -62,15 +74,14 @@ def ohlc(prices: DataFrame, tf: str = DEFAULT_TIMEFRAME) -> DataFrame:
     Prices stay decimal until the end. All four aggregates combine on the map side, so a
     market with most of the rows costs no more than any other.
     """
-    return (
-        prices.groupBy("market_id", bucket_start("ts", timeframe(tf)).alias("t"))
-        .agg(
-            F.min_by("price", "ts").alias("o"),
-            F.max("price").alias("h"),
-            F.min("price").alias("l"),
-            F.max_by("price", "ts").alias("c"),
-        )
-        .select("market_id", "t", *[F.col(x).cast("double").alias(x) for x in "ohlc"])
+    found = prices.groupBy("market_id", bucket_key(prices, "ts", timeframe(tf), "t")).agg(
+        F.min_by("price", "ts").alias("o"),
+        F.max("price").alias("h"),
+        F.min("price").alias("l"),
+        F.max_by("price", "ts").alias("c"),
+    )
+    return named_bucket(found, "t").select(
+        "market_id", "t", *[F.col(x).cast("double").alias(x) for x in "ohlc"]
     )
 
 

@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.operators.candles import bucket_floor, bucket_start
+from ticklake.operators.candles import bucket_floor, bucket_key, named_bucket
 from ticklake.operators.lookup import live
 
 HOUR = timedelta(hours=1)
@@ -23,9 +23,9 @@ def _source(rows: DataFrame, live_only: bool) -> DataFrame:
 def ticks_hourly(ticks: DataFrame, live_only: bool = False) -> DataFrame:
     """Ticks per hour. Like the other rollups it counts invalidated rows too, unless
     ``live_only`` is set."""
-    return (
-        _source(ticks, live_only)
-        .groupBy(bucket_start("processed_at", HOUR).alias("hour"))
+    rows = _source(ticks, live_only)
+    found = (
+        rows.groupBy(bucket_key(rows, "processed_at", HOUR, "hour"))
         .agg(
             F.count(F.lit(1)).alias("tick_count"),
             F.avg("tx_count").alias("avg_tx_per_tick"),
@@ -34,6 +34,7 @@ def ticks_hourly(ticks: DataFrame, live_only: bool = False) -> DataFrame:
             F.count_if(F.col("vdf_iterations") > 0).alias("ticks_with_vdf"),
         )
     )
+    return named_bucket(found, "hour")
 
 
 def _signers(approximate: bool):
@@ -46,9 +47,9 @@ def transactions_hourly(
 ) -> DataFrame:
     """Transactions per hour and payload type. The exact count of signers groups by
     signer first, so one busy hour is spread over many tasks."""
-    return (
-        _source(transactions, live_only)
-        .groupBy(bucket_start("processed_at", HOUR).alias("hour"), "payload_type")
+    rows = _source(transactions, live_only)
+    found = (
+        rows.groupBy(bucket_key(rows, "processed_at", HOUR, "hour"), "payload_type")
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
             F.avg("payload_size").alias("avg_payload_size"),
@@ -58,15 +59,16 @@ def transactions_hourly(
             F.max("tick_number").alias("max_tick_number"),
         )
     )
+    return named_bucket(found, "hour")
 
 
 def tick_tx_summary(
     transactions: DataFrame, live_only: bool = False, approximate: bool = False
 ) -> DataFrame:
     """Transactions per tick in five-minute buckets."""
-    return (
-        _source(transactions, live_only)
-        .groupBy(bucket_start("processed_at", FIVE_MINUTES).alias("bucket"), "tick_number")
+    rows = _source(transactions, live_only)
+    found = (
+        rows.groupBy(bucket_key(rows, "processed_at", FIVE_MINUTES, "bucket"), "tick_number")
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
             _signers(approximate),
@@ -74,6 +76,7 @@ def tick_tx_summary(
             F.sum("payload_size").alias("total_payload_bytes"),
         )
     )
+    return named_bucket(found, "bucket")
 
 
 @dataclass(frozen=True)

@@ -120,7 +120,12 @@ IDLE_MS = 10 * 60 * 1000
 def admit_stream(
     events: DataFrame, rate_per_second: float, burst: int, idle_ms: int | None = IDLE_MS
 ) -> DataFrame:
-    """Events marked admitted or limited, as they arrive."""
+    """Events marked admitted or limited, as they arrive.
+
+    With ``idle_ms`` the state depends on the clock, and Spark keeps starting empty
+    batches to look at it. A run with the ``availableNow`` trigger then ends only if
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` is off.
+    """
     return fold_stream(
         events, ["key"], ["ts", "event_id"], metrics.bucket_step(rate_per_second, burst),
         [float(burst), None], {"time": F.unix_micros(F.col("ts").cast("timestamp"))},

@@ -50,7 +50,7 @@ def _plain(value):
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, float):
-        return float(f"{value:.12g}") + 0.0
+        return value + 0.0
     if isinstance(value, (list, tuple)):
         return tuple(_plain(v) for v in value)
     if isinstance(value, dict):

@@ -48,10 +48,12 @@ def write_rows(
     keys: Sequence[str],
     batch_id: int = 0,
     newest: Sequence[str] = ("processed_at",),
+    columns: Sequence[str] | None = None,
 ) -> None:
     """Upsert by appending: within the batch the newest row of a key is kept, and readers
-    take the newest row over all batches (see ``read_current``)."""
-    latest = current(rows, keys, newest)
+    take the newest row over all batches (see ``read_current``). ``columns`` are those to
+    store, when ``newest`` names others."""
+    latest = current(rows, keys, newest).select(*(columns or rows.columns))
     replace_partitions(with_partitions(latest, "processed_at", batch_id), path, PARTITIONS)
 
 

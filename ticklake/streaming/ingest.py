@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticklake import schemas
-from ticklake.operators import lookup, parse, quality, reorg
+from ticklake.operators import parse, quality, reorg
 from ticklake.operators.ordered import KEY, fold_with_states
 from ticklake.sinks import folders
 from ticklake.sinks.tables import read_rows, replace_partitions, show_rows, write_rows
@@ -143,18 +143,17 @@ def store_batch(
     tick_rows = tick_rows.withColumns(
         {**{n: parse.empty_to_null(n) for n in texts}, "processed_at": stamp, "version": F.lit(1)}
     )
-    newest = lookup.current(tick_rows, schemas.TICK_KEYS, order)
     write_rows(
-        newest.select(*schemas.TICKS.fieldNames()), f"{root}/ticks", schemas.TICK_KEYS, batch_id
+        tick_rows, f"{root}/ticks", schemas.TICK_KEYS, batch_id, order,
+        schemas.TICKS.fieldNames(),
     )
     kind = parse.payload_class("payload") if classify else F.lit("")
     rows = parse.explode_transactions(ticks, keep=("arrival",)).withColumns(
         {"processed_at": stamp, "payload_type": kind, "version": F.lit(1)}
     )
-    newest = lookup.current(rows, schemas.TRANSACTION_KEYS, (*order, "tx_hash"))
     write_rows(
-        newest.select(*schemas.TRANSACTIONS.fieldNames()), f"{root}/transactions",
-        schemas.TRANSACTION_KEYS, batch_id,
+        rows, f"{root}/transactions", schemas.TRANSACTION_KEYS, batch_id, (*order, "tx_hash"),
+        schemas.TRANSACTIONS.fieldNames(),
     )
 
 

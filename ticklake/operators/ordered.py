@@ -67,6 +67,15 @@ def slice_hot(
     return _range_slices(df, [*keys, *order], total, limit), True
 
 
+def _key_text(keys: Sequence[str]) -> Column:
+    """The key as one text that is never null, so that plain equality joins it."""
+    if len(keys) == 1:
+        text = F.concat(F.lit("="), F.col(keys[0]).cast("string"))
+    else:
+        text = F.to_json(F.struct(*keys))
+    return F.coalesce(text, F.lit(""))
+
+
 _RUNNING: dict[str, Callable[[Column], Column]] = {
     "sum": F.sum,
     "max": F.max,
@@ -112,19 +121,21 @@ def running(
     """
     owned = sliced is None
     rows, hot = slice_hot(df, keys, order, group_rows) if owned else (df, sliced)
-    cells = [*keys, SLICE] if hot else list(keys)
+    cells = [KEY, SLICE] if hot else list(keys)
     frame = (
         Window.partitionBy(*cells)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     inputs = rows.withColumns({f"_v_{name}": column for name, (_, column) in values.items()})
+    if hot:
+        inputs = inputs.withColumn(KEY, _key_text(keys))
     local = inputs.withColumns(
         {name: _RUNNING[kind](F.col(f"_v_{name}")).over(frame) for name, (kind, _) in values.items()}
     )
     if hot:
         before = (
-            Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         )
         totals = inputs.groupBy(*cells).agg(
             *[
@@ -140,8 +151,7 @@ def running(
             ],
         )
         # Same keys as the window above: the rows are not shuffled again for this join.
-        matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cells]
-        joined = local.alias("l").join(carried.alias("r"), matched, "left")
+        joined = local.alias("l").join(carried.alias("r"), cells, "left")
         local = joined.select(
             *[F.col(f"l.{c}") for c in inputs.columns],
             *[
@@ -149,7 +159,7 @@ def running(
                 for name, (kind, _) in values.items()
             ],
         )
-    out = local.drop(*[f"_v_{name}" for name in values])
+    out = local.drop(KEY, *[f"_v_{name}" for name in values])
     return out.drop(SLICE) if owned else out
 
 
@@ -343,12 +353,8 @@ def fold_with_states(
     """
     limit = group_rows or GROUP_ROWS
     names = [f"_in_{name}" for name in inputs]
-    if len(keys) == 1:
-        key = F.concat(F.lit("="), F.col(keys[0]).cast("string"))
-    else:
-        key = F.to_json(F.struct(*keys))
     rows = df.withColumns(
-        {KEY: F.coalesce(key, F.lit("")), **{f"_in_{n}": c for n, c in inputs.items()}}
+        {KEY: _key_text(keys), **{f"_in_{n}": c for n, c in inputs.items()}}
     )
     marked = start is not None
     sort = [KEY, *order]

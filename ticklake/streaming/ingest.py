@@ -32,6 +32,10 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _utc(at: datetime) -> Column:
+    return F.lit(f"{at.isoformat()}Z").cast("timestamp")
+
+
 def batch_time(spark: SparkSession, root: str, batch_id: int, clock: Clock = utc_now) -> datetime:
     """The time a batch was first processed; the same when it is processed again."""
     path = f"{root}/clock/batch_id={batch_id}"
@@ -134,7 +138,7 @@ def store_batch(
 ) -> None:
     """Write tick and transaction rows of a batch. When one tick occurs twice, the later
     arrival wins."""
-    stamp: Column = F.lit(at.isoformat()).cast("timestamp")
+    stamp = _utc(at)
     order = ("processed_at", "arrival")
     # The arrival decides within the batch only; it is not a stored column.
     with_arrival = ticks.filter(parse.has_transactions())
@@ -176,7 +180,7 @@ def ingest_batch(
     else:
         accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
         _write_batch(quarantined, f"{root}/quarantine", batch_id)
-        found = events.withColumn("at", F.lit(at.isoformat()).cast("timestamp"))
+        found = events.withColumn("at", _utc(at))
         _write_batch(found, f"{root}/invalidations", batch_id)
     if write is not None:
         write(accepted, batch_id)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticklake.llm import exact_dedup
-from ticklake.llm.common import table
+from ticklake.llm import exact_dedup, language_id
+from ticklake.llm.common import crc32_of, table
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +14,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned without the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(language_id.learnable(docs)))
+    found = language_id.predictor(language_id.share(docs, model), F.col("text"))
+    return docs.select(
+        "doc_id", (crc32_of() % 3 == 1).alias("held_out"), found.alias("p")
+    ).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op6_exact_dedup": op6_exact_dedup,
 }
 

@@ -1,10 +1,11 @@
 """Exact deduplication by 128-bit content hash, with bytes compared inside groups.
 
 Rows whose texts are byte for byte equal form a group (null counts as the empty text);
-the row with the smallest or largest id stays. Texts are hashed with MD5; groups of one
-hash are compared as bytes by taking the smallest and the largest text of each group,
-which combines on the map side, so that no group is gathered in one task. Hashes whose
-texts differ are split by the text itself.
+the row with the smallest or largest id stays. Texts are hashed with MD5, and rows are
+grouped by the hash and then the bytes, so texts that merely collide stay apart. The
+grouping combines on the map side: a task sends one row per distinct text it has seen, and
+no group is gathered in one task. Rows find their group again by MD5 and SHA-256, in a
+join without texts whose hot keys Spark can split.
 
 Defined results: an empty table gives no rows; a null id never beats another, and a group
 of null ids keeps its rows; rows that repeat id and text are all members of the group and
@@ -18,8 +19,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import staged
-
 
 def content_hash(text: Column) -> Column:
     """128-bit content hash, as 16 bytes."""
@@ -40,32 +39,12 @@ def exact_groups(
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")
     ).withColumn("h", content(F.col("t")))
-    slim = staged(rows.select("id", "h", F.sha2(F.col("t").cast("binary"), 256).alias("sha")), "exact")
-    groups = slim.groupBy("h").agg(best("id").alias("keep_id"), F.count("*").alias("group_size"))
-    collided = staged(_collided(rows, groups), "exact-collided")
-    if collided.isEmpty():
-        decided = slim.join(groups, "h")
-    else:
-        mixed = rows.join(collided, "h", "left_semi").select("id", "h", "t")
-        parts = mixed.groupBy("h", "t").agg(best("id").alias("keep_id"), F.count("*").alias("group_size"))
-        decided = (
-            slim.join(collided, "h", "left_anti").join(groups, "h")
-            .unionByName(
-                mixed.join(parts, ["h", "t"])
-                .withColumn("sha", F.sha2(F.col("t").cast("binary"), 256)).drop("t")
-            )
-        )
-    return decided.select(
+    sha = F.sha2(F.col("t").cast("binary"), 256).alias("sha")
+    groups = (
+        rows.groupBy("h", "t").agg(best("id").alias("keep_id"), F.count("*").alias("group_size"))
+        .select("h", sha, "keep_id", "group_size")
+    )
+    return rows.select("id", "h", sha).join(groups, ["h", "sha"]).select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"),
     )
-
-
-def _collided(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Hashes under which texts of different bytes meet."""
-    shared = groups.filter("group_size > 1").select("h")
-    return (
-        rows.select("h", F.col("t").cast("binary").alias("t")).join(shared, "h", "left_semi")
-        .groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high"))
-        .filter("low <> high").select("h")
-    )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import exact_dedup, language_id
+from ticklake.llm import bpe, exact_dedup, language_id
 from ticklake.llm.common import crc32_of, table
 
 
@@ -24,9 +25,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the word-end vocabulary."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_bpe_encode_decode": op9_bpe_encode_decode,
 }
 
 SQL = {

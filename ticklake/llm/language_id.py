@@ -39,6 +39,7 @@ WINDOW = 1024
 LANES = 4096
 OTHER, BREAK, LETTERS = 0, 1, 2  # symbols: unknown letter, run of non-letters, first letter
 ALPHABET = 254
+SPREAD = 1 << 40
 
 
 @dataclass
@@ -115,16 +116,29 @@ def fit(
     sample_chars: int = 2000,
     automaton_chars: int = 60_000,
 ) -> Model:
-    """Learn from a bounded sample: per language the documents of smallest hashed id."""
+    """Learn from a bounded sample: per language the documents of smallest hashed id.
+
+    Documents per language are counted first, and only a share of the hashed ids that
+    holds about twice the sample is read in full, so what is sorted does not grow.
+    """
     order = Window.partitionBy("lang").orderBy(
         F.xxhash64(F.col("id").cast("string")), "id", F.xxhash64("text"), "text"
     )
+    spread = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)), F.lit(SPREAD))
+    named = labelled.filter(F.col(lang_col).isNotNull())
+    limits = [
+        value for row in named.groupBy(F.col(lang_col).cast("string")).count().collect()
+        for value in (F.lit(row[0]), F.lit(2 * sample_docs * SPREAD // row[1]))
+    ]
+    if not limits:
+        return Model("", [], [], [], [])
     rows = (
-        labelled.select(
+        named.filter(spread <= F.create_map(*limits)[F.col(lang_col).cast("string")])
+        .select(
             F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
             F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("text"),
         )
-        .filter(r"lang IS NOT NULL AND text RLIKE '\\p{L}'")
+        .filter(r"text RLIKE '\\p{L}'")
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample_docs)
         .orderBy("lang", "place")

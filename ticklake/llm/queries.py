@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, exact_dedup, language_id
+from ticklake.llm import bpe, exact_dedup, language_id, near_dedup
 from ticklake.llm.common import crc32_of, table
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a similarity of 0.85 of their three-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of byte-equal texts, the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
@@ -33,6 +38,7 @@ def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_language_id": op3_language_id,
+    "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
 }

@@ -1,13 +1,12 @@
-"""Helpers the corpus operators share: reading tables, staged tables, Arrow maps."""
+"""Helpers the corpus operators share: reading tables, staged tables, Arrow schemas."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from ticklake.functions.session import scratch_path
 
@@ -42,32 +41,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Any]], schema: str,
-    setup: Callable[[], None] | None = None,
-) -> DataFrame:
-    """Apply ``fn`` to Arrow batches as columns of Python values.
-
-    Batches are cut by Spark at ``spark.sql.execution.arrow.maxBytesPerBatch``, so that
-    a task holds some tens of MB whatever the lengths of the texts are.
-    """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out = to_arrow_schema(_schema(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if setup is not None:
-            setup()
-        for batch in batches:
-            columns = fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[f.name], f.type) for f in out], schema=out
-            )
-
-    return df.mapInArrow(run, schema)
-
-
-def _schema(ddl: str):
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(ddl)
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string; needs the session, so call it on the driver."""
+    return to_arrow_schema(_parse_datatype_string(ddl))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, exact_dedup, language_id, near_dedup
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
 from ticklake.llm.common import crc32_of, table
 
 
@@ -36,11 +36,19 @@ def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, one row per document and item."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 SQL = {

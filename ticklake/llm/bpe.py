@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-MEMO = 400_000
+MEMO = 100_000
+PART = 1 << 20  # characters whose words are held at a time
 LONG = 48  # symbols from which a fragment is merged with a heap
 NONE = np.iinfo(np.int32).max
 
@@ -281,13 +282,30 @@ class ForcedBpe:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Per text its ids and its tokens, each joined by a space."""
-        split = [_SPACES.split(t) if _ODD.search(t) else t.split() for t in texts]
-        for start in range(0, len(split), 500):
-            group = split[start : start + 500]
-            self.chunks.fill(set().union(*group), self._encode_chunks)
-            for chunks in group:
-                found = [p for p in map(self.chunks.__getitem__, chunks) if p[0]]
-                yield " ".join([p[0] for p in found]), " ".join([p[1] for p in found])
+        group: list[tuple[str, bool]] = []  # parts, and whether they end their text
+        size, begun = 0, ([], [])
+        for text in texts:
+            parts = list(parts_of(text)) or [""]
+            for place, part in enumerate(parts, 1):
+                group.append((part, place == len(parts)))
+                size += len(part)
+                if size >= PART:
+                    yield from self._encode_group(group, begun)
+                    group, size = [], 0
+        yield from self._encode_group(group, begun)
+
+    def _encode_group(self, group: list[tuple[str, bool]], begun: tuple[list, list]) -> Iterator[tuple[str, str]]:
+        split = [_SPACES.split(p) if _ODD.search(p) else p.split() for p, _ in group]
+        self.chunks.fill(set().union(*split), self._encode_chunks)
+        for chunks, (_, last) in zip(split, group):
+            found = [p for p in map(self.chunks.__getitem__, chunks) if p[0]]
+            if found:
+                begun[0].append(" ".join([p[0] for p in found]))
+                begun[1].append(" ".join([p[1] for p in found]))
+            if last:
+                yield " ".join(begun[0]), " ".join(begun[1])
+                begun[0].clear()
+                begun[1].clear()
 
     def encode_ids(self, text: str) -> list[int]:
         return [int(i) for i in next(self.encode([text]))[0].split()]
@@ -303,7 +321,17 @@ _SPACES = re.compile("[ \t\n\r\f\v]+")
 _RARE = re.compile("[^\0-\u052f\u2000-\u206f\u3040-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
-@lru_cache(maxsize=2)
+def parts_of(text: str) -> Iterator[str]:
+    """A text in parts of about PART characters, cut before a space."""
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + PART)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> ForcedBpe:
     """The encoder of a file; a worker keeps it between its tasks."""
     return ForcedBpe(path)

@@ -256,11 +256,11 @@ def _rare_pairs(members: DataFrame, texts: DataFrame, kind: str, words: int, sim
         .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("id")))
         .filter(F.col("place") + F.col("alone") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1)
     )
+    # shingles of one text alone are in no intersection, which bounds it for each pair
     one, other = first.alias("x"), first.alias("y")
+    most = F.least(F.col("x.n") - F.col("x.alone"), F.col("y.n") - F.col("y.alone"))
     return (
         one.join(other, "h").filter("x.component < y.component")
-        .filter(
-            100 * F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")
-        )
+        .filter(100 * most >= similarity * (F.col("x.n") + F.col("y.n") - most))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     )

@@ -362,7 +362,7 @@ def encoded(text: Column, path: str) -> Column:
         bpe = encoder(path)
         for texts in series:
             yield pd.Series([
-                np.array(ids.split(), dtype=np.int32)
+                np.fromstring(ids, dtype=np.int32, sep=" ")
                 for ids, _ in bpe.encode(["" if t is None else t for t in texts])
             ], dtype=object)
 

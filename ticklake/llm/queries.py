@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_files
 from ticklake.llm.common import crc32_of, table
 
 
@@ -20,6 +20,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as files and read back."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.write_and_read(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned without the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +50,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,

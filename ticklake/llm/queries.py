@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_files
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_counts, token_files
 from ticklake.llm.common import crc32_of, table
 
 
@@ -36,6 +36,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document under the piece vocabulary."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-end vocabulary."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -54,6 +60,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_decontaminate": op10_decontaminate,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_counts, token_files
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_counts, token_files, warc
 from ticklake.llm.common import crc32_of, table
 
 
@@ -26,6 +26,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).filter(
+        "record_type IN ('response', 'revisit')"
+    ).select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned without the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +64,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
@@ -66,6 +74,15 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_warc": """
+        SELECT page_id, octet_length(data) AS payload_bytes, payload_digest,
+               CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to
+        FROM (SELECT *, CASE WHEN octet_length(data) >= 100
+                             THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+              FROM (SELECT page_id, encode(coalesce(html, '')) AS data,
+                           sha256(coalesce(html, '')) AS payload_digest FROM pages))
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

@@ -252,15 +252,15 @@ def _rare_pairs(members: DataFrame, texts: DataFrame, kind: str, words: int, sim
     # n - that + 1 in any common order; shingles of one text alone come first and match none
     first = (
         each.join(common, "h")
-        .withColumn("place", F.row_number().over(by_rarity))
-        .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("id")))
-        .filter(F.col("place") + F.col("alone") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1)
+        .withColumn("place", F.row_number().over(by_rarity) + F.col("n") - F.count("*").over(Window.partitionBy("id")))
+        .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1)
     )
-    # shingles of one text alone are in no intersection, which bounds it for each pair
+    # what follows the first shingle that a pair shares bounds its intersection; the pair is
+    # made by that one at the latest, whichever shared shingle passes the bound
     one, other = first.alias("x"), first.alias("y")
-    most = F.least(F.col("x.n") - F.col("x.alone"), F.col("y.n") - F.col("y.alone"))
+    most = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     return (
         one.join(other, "h").filter("x.component < y.component")
-        .filter(100 * most >= similarity * (F.col("x.n") + F.col("y.n") - most))
+        .filter((100 + similarity) * most >= similarity * (F.col("x.n") + F.col("y.n")))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     )

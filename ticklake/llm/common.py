@@ -44,3 +44,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a DDL string; needs the session, so call it on the driver."""
     return to_arrow_schema(_parse_datatype_string(ddl))
+
+
+_APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Lower-case runs of characters other than ASCII punctuation, controls and white space."""
+    return (text or "").lower().encode("utf-8").translate(_APART).split()

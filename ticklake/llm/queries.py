@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_counts, token_files, warc
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, pii, token_counts, token_files, toxicity, warc
 from ticklake.llm.common import crc32_of, table
 
 
@@ -15,6 +15,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=85)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of byte-equal texts, the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
@@ -49,6 +54,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is toxic, learned without the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(crc32_of() % 5 != 0))
+    score = toxicity.score(toxicity.share(docs, model), F.col("text"))
+    return docs.select("doc_id", (crc32_of() % 5 == 0).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    )
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-end vocabulary."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -67,8 +82,10 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
+    "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_decontaminate": op10_decontaminate,
 }

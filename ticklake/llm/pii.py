@@ -125,7 +125,7 @@ def _features(kind: str, x: Column) -> Column:
     match = x["match"]
     digits = F.length(_digits(match))
     if kind == "email":
-        check = F.when(match.rlike(r"^[\x21-\x7e]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}[.!?:]*$"), 2).when(
+        check = F.when(match.rlike(r"^[\x21-\x7e]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}[.!?:]*$"), 2).when(
             match.rlike(r"@.*\."), 1).otherwise(0)
     elif kind == "ip":
         check = F.when(_octets(match), 2).otherwise(0)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-MEMO = 100_000
+MEMO = 200_000
 PART = 1 << 20  # characters whose words are held at a time
 LONG = 48  # symbols from which a fragment is merged with a heap
 NONE = np.iinfo(np.int32).max
@@ -158,16 +158,13 @@ class ForcedBpe:
             missed = missed[(there != keys[missed]) & (there != -1)]
         return slot
 
-    def _merge_together(self, fragments: list[np.ndarray]) -> list[np.ndarray]:
-        """Merge short fragments, all at once, one merge of each in every round."""
-        width = max(map(len, fragments))
-        grid = np.full((len(fragments), width + 1), -1, dtype=np.int64)
-        for row, fragment in zip(grid, fragments):
-            row[: len(fragment)] = fragment
-        slots = np.zeros((len(fragments), width), dtype=np.int64)
-        ranks = np.full((len(fragments), width), NONE, dtype=np.int32)
+    def _merge_together(self, grid: np.ndarray) -> np.ndarray:
+        """Merge the rows of a grid (ended by -1), one merge of each row in every round."""
+        rows, width = len(grid), grid.shape[1] - 1
+        slots = np.zeros((rows, width), dtype=np.int64)
+        ranks = np.full((rows, width), NONE, dtype=np.int32)
         self._rank(grid, slots, ranks, np.s_[:])
-        live = np.arange(len(fragments))
+        live = np.arange(rows)
         places = np.arange(width + 1)
         while len(live):
             at = ranks[live].argmin(axis=1)
@@ -177,12 +174,12 @@ class ForcedBpe:
                 break
             new = self.made[slots[live, at]]
             source = np.minimum(places + (places > at[:, None]), width)
-            rows = np.take_along_axis(grid[live], source, axis=1)
-            rows[np.arange(len(live)), at] = new
-            rows[:, width] = -1
-            grid[live] = rows
+            merged = np.take_along_axis(grid[live], source, axis=1)
+            merged[np.arange(len(live)), at] = new
+            merged[:, width] = -1
+            grid[live] = merged
             self._rank(grid, slots, ranks, live)
-        return [row[row >= 0] for row in grid]
+        return grid
 
     def _rank(self, grid, slots, ranks, rows) -> None:
         left, right = grid[rows, :-1], grid[rows, 1:]
@@ -224,33 +221,48 @@ class ForcedBpe:
 
     # texts
 
-    def fragments(self, word: str) -> list[np.ndarray]:
-        """Symbols of a pre-token, cut where no token may reach across."""
-        symbols = np.frombuffer(word.encode("utf-8"), dtype=np.uint8).astype(np.int64)
-        symbols[-1] += 256
-        cuts = np.flatnonzero(~self.inside[symbols[:-1], symbols[1:]]) + 1
-        return np.split(symbols, cuts)
-
-    def _encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        pieces: list[np.ndarray] = []
-        counts = []
-        for word in words:
-            parts = self.fragments(word)
-            counts.append(len(parts))
-            pieces += parts
-        done: list = [None] * len(pieces)
-        order = sorted((i for i, p in enumerate(pieces) if len(p) <= LONG), key=lambda i: len(pieces[i]))
-        for start in range(0, len(order), 4096):
-            group = order[start : start + 4096]
-            for i, merged in zip(group, self._merge_together([pieces[i] for i in group])):
-                done[i] = merged
-        for i, piece in enumerate(pieces):
-            if done[i] is None:
-                done[i] = self._merge_long(piece)
+    def cut(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of all words one behind the other, where words begin, and where fragments
+        begin: at words, and where no token may reach across."""
+        data = [w.encode("utf-8") for w in words]
+        ends = np.cumsum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)))
+        symbols = np.frombuffer(b"".join(data), dtype=np.uint8).astype(np.int64)
+        symbols[ends - 1] += 256
+        begins = np.ones(len(symbols), dtype=bool)
+        begins[1:] = ~self.inside[symbols[:-1], symbols[1:]]
+        starts = np.concatenate([[0], ends[:-1]])
+        begins[starts] = True
+        return symbols, starts, np.flatnonzero(begins)
+
+    def _encode_words(self, words: list[str]) -> list[tuple[str, str]]:
+        """Ids and tokens of pre-tokens, each joined by a space."""
+        if not words:
+            return []
+        symbols, starts, begins = self.cut(words)
+        lengths = np.diff(np.append(begins, len(symbols)))
+        done = np.full(len(symbols), -1, dtype=np.int64)  # each fragment's result at its begin
+        order = np.flatnonzero(lengths <= LONG)
+        order = order[np.argsort(lengths[order], kind="stable")]
+        for at in range(0, len(order), 4096):
+            group = order[at : at + 4096]
+            size, first = lengths[group], begins[group]
+            places = np.arange(size.max() + 1)
+            inside = places < size[:, None]
+            sources = np.minimum(first[:, None] + places, len(symbols) - 1)
+            merged = self._merge_together(np.where(inside, symbols[sources], -1))
+            done[sources[inside]] = merged[inside]
+        for place in np.flatnonzero(lengths > LONG):
+            first = begins[place]
+            merged = self._merge_long(symbols[first : first + lengths[place]])
+            done[first : first + len(merged)] = merged
+        held = done >= 0
+        ends = np.cumsum(np.add.reduceat(held, starts)).tolist()
+        ids = self.ids[done[held]].tolist()
         out, at = [], 0
-        for count in counts:
-            out.append(tuple(self.ids[np.concatenate(done[at : at + count])].tolist()))
-            at += count
+        for end in ends:
+            mine = ids[at:end]
+            out.append((" ".join(map(str, mine)), " ".join([self.tokens[i] for i in mine])))
+            at = end
         return out
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -267,8 +279,13 @@ class ForcedBpe:
         self.words.fill({w for ws in split for w in ws if w.__class__ is str}, self._encode_words)
         out = []
         for words in split:
-            ids = [i for w in words for i in (self.words[w] if w.__class__ is str else (w,))]
-            out.append((" ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])))
+            pairs = [
+                self.words[w] if w.__class__ is str else (str(w), self.tokens[w]) for w in words
+            ]
+            if len(pairs) == 1:
+                out.append(pairs[0])
+            else:
+                out.append((" ".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs])))
         return out
 
     def _words_or_added(self, chunk: str) -> list:

@@ -182,7 +182,7 @@ class Parser:
             at_root = start == 0
             first[symbol[at_root]] = (base + end[at_root].astype(np.int64)) * wide
             block[:] = first * 2 + 1
-            block[start, symbol] = (base + end.astype(np.int64)) * wide * 2
+            block[start, symbol] = (base + end.astype(np.int64)) * wide * 2 + at_root
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each symbol sequence under each language: (languages, texts)."""
@@ -195,12 +195,12 @@ class Parser:
         order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
         for at in range(0, len(order), LANES):
             lanes = order[at : at + LANES]
-            misses = self._walk([pieces[i] for i in lanes])
-            np.add.at(total.T, [owner[i] for i in lanes], misses.T + 1)
+            begun = self._walk([pieces[i] for i in lanes])
+            np.add.at(total.T, [owner[i] for i in lanes], begun.T)
         return total
 
     def _walk(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """Phrases begun after the first, of pieces sorted from long to short."""
+        """Phrases begun in pieces sorted from long to short."""
         lengths = np.array([len(p) for p in pieces])
         grid = np.zeros((len(pieces), lengths[0]), dtype=np.uint8)
         for lane, piece in enumerate(pieces):
@@ -208,12 +208,12 @@ class Parser:
         grid = np.ascontiguousarray(grid.T)
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
         state = np.repeat(self.roots[:, None], len(pieces), axis=1)
-        misses = np.zeros(state.shape, dtype=np.int64)
+        begun = np.zeros(state.shape, dtype=np.int64)
         for step, count in enumerate(active):
             value = self.table.take(state[:, :count] + grid[step, :count])
-            misses[:, :count] += value & 1
+            begun[:, :count] += value & 1
             state[:, :count] = value >> 1
-        return misses
+        return begun
 
 
 def predict(parser: Parser, languages: list[str], texts: list[str | None]) -> pd.DataFrame:

@@ -131,10 +131,12 @@ def test_sanitize(spark, max_bytes):
 
 def test_sanitize_limit_and_variants(spark):
     row = spark.createDataFrame([("x" * 10_001, "a%00b", "y")], "a string, b string, c string").select(
-        F.length(text.sanitize(F.col("a"))), text.sanitize_url_param(F.col("b")),
+        F.length(text.sanitize(F.col("a"), text.MAX_BYTES)), text.sanitize_url_param(F.col("b")),
         text.sanitize_json(F.col("c")),
     ).first()
     assert tuple(row) == (10_000, "ab", "y")
+    whole = spark.createDataFrame([("x" * 10_001,)], "a string").select(text.sanitize(F.col("a"))).first()[0]
+    assert len(whole) == 10_001
 
 
 def test_submissions(spark):

@@ -35,10 +35,10 @@ def _cut(text: Column, max_bytes: int) -> Column:
     return F.when(F.octet_length(text) > max_bytes, cut).otherwise(text)
 
 
-def sanitize(text: Column, max_bytes: int | None = MAX_BYTES) -> Column:
+def sanitize(text: Column, max_bytes: int | None = None) -> Column:
     """Trim, limit, escape for HTML, then delete suspicious patterns and control characters.
 
-    ``max_bytes=None`` keeps the whole text.
+    Whole texts are kept unless ``max_bytes`` (such as ``MAX_BYTES``) is given.
     """
     out = F.btrim(text, F.lit(WHITE_SPACE))
     if max_bytes is not None:
@@ -50,12 +50,12 @@ def sanitize(text: Column, max_bytes: int | None = MAX_BYTES) -> Column:
     return out
 
 
-def sanitize_url_param(text: Column, max_bytes: int | None = MAX_BYTES) -> Column:
+def sanitize_url_param(text: Column, max_bytes: int | None = None) -> Column:
     """As ``sanitize``, and without encoded null bytes."""
     return F.replace(sanitize(text, max_bytes), F.lit("%00"), F.lit(""))
 
 
-def sanitize_json(text: Column, max_bytes: int | None = MAX_BYTES) -> Column:
+def sanitize_json(text: Column, max_bytes: int | None = None) -> Column:
     """As ``sanitize``, and without script tags."""
     out = F.replace(sanitize(text, max_bytes), F.lit("</script>"), F.lit(""))
     return F.replace(out, F.lit("<script>"), F.lit(""))

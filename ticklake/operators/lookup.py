@@ -140,14 +140,14 @@ def _only(rows: DataFrame, numbers: Sequence[int] | None) -> DataFrame:
 def tick_transactions(
     ticks: DataFrame, transactions: DataFrame, numbers: Sequence[int] | None = None
 ) -> DataFrame:
-    """Each current tick with each of its live transactions, one row per pair; a tick
+    """Each current tick with each of its current transactions, one row per pair; a tick
     without any has one row with null transaction columns.
 
     The pairs come from an inner join, which can be split when one tick has most of the
     transactions; an outer join with the large side on the right cannot.
     """
     head = read_defaults(current_ticks(_only(ticks, numbers)))
-    rows = live(_only(transactions, numbers))
+    rows = current_transactions(_only(transactions, numbers))
     renamed = shown_transactions(rows).select(
         "tick_number",
         *[
@@ -169,20 +169,23 @@ def tick_documents(
     ticks: DataFrame,
     transactions: DataFrame,
     numbers: Sequence[int] | None = None,
-    document_rows: int = DOCUMENT_ROWS,
+    document_rows: int | None = DOCUMENT_ROWS,
 ) -> DataFrame:
     """Current ticks with their current transactions nested in sequence order.
 
     A tick of more than ``document_rows`` transactions spans several documents, numbered
-    by ``part``, so no array grows without bound; a tick without any has an empty list.
+    by ``part``, so no array grows without bound; with ``None`` each tick is one document.
+    A tick without any has an empty list.
     """
     head = read_defaults(current_ticks(_only(ticks, numbers)))
     rows = current_transactions(_only(transactions, numbers))
-    part = F.floor(F.col("sequence_number") / F.lit(document_rows)).alias("part")
+    part = F.lit(0).cast("bigint") if document_rows is None else F.floor(
+        F.col("sequence_number") / F.lit(document_rows)
+    )
     fields = [c for c in shown_transactions(rows).columns if c != "tick_number"]
     nested = (
         shown_transactions(rows)
-        .groupBy("tick_number", part)
+        .groupBy("tick_number", part.alias("part"))
         .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("transactions"))
     )
     with_rows = head.join(nested, "tick_number")

@@ -317,11 +317,11 @@ def _recent_transactions(spark, sf_dir):
 
 @_register(
     "tick_with_transactions",
-    f"""{_CHAIN}, {_CURRENT_TICKS},
+    f"""{_CHAIN}, {_CURRENT_TICKS}, {_CURRENT_TRANSACTIONS},
 shown AS (
   SELECT *, CASE WHEN octet_length(payload) = 0 THEN NULL
     ELSE '{{"data":"' || decode(payload) || '","type":"text"}}' END AS payload_decoded
-  FROM transactions WHERE version > 0)
+  FROM current_transactions)
 SELECT t.tick_number, coalesce(t.vdf_proof, '') AS vdf_proof, t.tx_count, t.processed_at,
   s.sequence_number, s.tx_hash, s.payload_decoded, lower(hex(s.public_key)) AS public_key,
   s.processed_at AS tx_processed_at,
@@ -338,6 +338,19 @@ def _tick_with_transactions(spark, sf_dir):
     )
 
 
+@_register(
+    "tick_documents_whole",
+    f"""{_CHAIN}, {_CURRENT_TICKS}, {_CURRENT_TRANSACTIONS}
+SELECT t.tick_number, count(c.tick_number) AS n
+FROM current_ticks t LEFT JOIN current_transactions c USING (tick_number) GROUP BY 1""",
+)
+def _whole_documents(spark, sf_dir):
+    documents = lookup.tick_documents(
+        a.ticks_chain(spark, sf_dir), a.transactions_chain(spark, sf_dir), document_rows=None
+    )
+    return documents.select("tick_number", F.size("transactions").cast("long").alias("n"))
+
+
 @_register(
     "tick_documents",
     f"""{_CHAIN}, {_CURRENT_TICKS}, {_CURRENT_TRANSACTIONS}

@@ -138,6 +138,9 @@ def read_prices(spark: SparkSession, path: str, time_type: str = "timestamp") ->
     ).parquet(path)
 
 
-def show_rows(rows: DataFrame, limit: int = 20) -> None:
-    """Dry run: print rows and store nothing."""
-    rows.show(limit, truncate=False)
+def show_rows(rows: DataFrame, limit: int | None = None) -> None:
+    """Dry run: print rows as JSON lines and store nothing; all of them, one partition
+    after the other, unless a limit is given."""
+    shown = rows if limit is None else rows.limit(limit)
+    for row in shown.select(F.to_json(F.struct("*"))).toLocalIterator():
+        print(row[0])

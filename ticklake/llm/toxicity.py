@@ -11,7 +11,7 @@
    clean documents, K is its maximum-likelihood estimate from their best segments. Segments
    whose normalised score ``lambda * S - ln(K n)`` is positive are significant, and a
    document's evidence is the sum over them.
-4. A logistic curve over the evidence, the best normalised score and the length gives the
+4. A logistic curve over the evidence, the best segment and the length gives the
    probability. It is fitted on the other half of the sample than the token counts, with
    the classes weighted by how frequent they are among all labels.
 
@@ -41,8 +41,8 @@ from ticklake.llm.common import plain_words, staged
 
 BUCKETS = 1 << 18
 FIT_DOCS = 10_000
-PRIOR = 500.0  # pseudo-tokens of the prior in each class
-SURE = 2.0
+PRIOR = 0.05  # pseudo-counts of each token, as a share of its count in both classes
+SURE = 3.0
 DRIFT = 0.15
 WORDS_KEPT = 300_000
 SPREAD = 1 << 40
@@ -65,7 +65,7 @@ class Buckets(dict):
 def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Score of each bucket: shrunken log-odds less the drift."""
     together = (toxic + other).astype(float)
-    prior = PRIOR * (together + 1e-3) / (together + 1e-3).sum()
+    prior = PRIOR * (together + 1e-3)
     one, zero = toxic + prior, other + prior
     odds = lambda a: np.log(a) - np.log(a.sum() - a)
     delta = odds(one) - odds(zero)
@@ -115,12 +115,13 @@ class Model:
     curve: np.ndarray | None = None
 
     def evidence(self, codes: np.ndarray) -> tuple[float, float, float]:
-        """Sum of significant normalised scores, the best one, and the logarithm of the length."""
+        """Sum of significant normalised scores, the best score in units of 1 / lambda, and
+        the logarithm of the length."""
         if not len(codes):
             return 0.0, 0.0, 0.0
         chance = np.log(self.scale * len(codes))
-        above = [max(0.0, self.decay * s - chance) for s, _, _ in segments(self.scores[codes])]
-        return sum(above), max(above, default=0.0), float(np.log1p(len(codes)))
+        found = [self.decay * s for s, _, _ in segments(self.scores[codes])]
+        return sum(max(0.0, s - chance) for s in found), max(found, default=0.0), float(np.log1p(len(codes)))
 
     def passages(self, codes: np.ndarray) -> list[tuple[int, int, float]]:
         """Significant passages: first and last word, normalised score."""
@@ -136,7 +137,7 @@ class Model:
 
 def _design(features: np.ndarray) -> np.ndarray:
     total, best, length = features.reshape(-1, 3).T
-    return np.column_stack([np.ones(len(total)), np.log1p(total), np.log1p(best), length, length * (total > 0)])
+    return np.column_stack([np.ones(len(total)), np.log1p(total), best, np.sqrt(best), length])
 
 
 def decay_of(scores: np.ndarray, weights: np.ndarray) -> float:

@@ -2,7 +2,7 @@
 
 1. Tokens (hashed into ``BUCKETS``) are counted in toxic and other documents of a labelled
    sample. Their log-odds with an informative Dirichlet prior (the counts of both classes
-   together) are drawn toward zero by ``SURE`` standard deviations, and every token costs
+   together) are drawn toward zero by some standard deviations (``SURE``), and every token costs
    ``DRIFT``, so that clean text has a negative mean score.
 2. A linear scan finds all maximal scoring segments of a text: the runs of tokens whose
    score no extension and no part can better.
@@ -12,8 +12,10 @@
    whose normalised score ``lambda * S - ln(K n)`` is positive are significant, and a
    document's evidence is the sum over them.
 4. A logistic curve over the evidence, the best segment and the length gives the
-   probability. It is fitted on the other half of the sample than the token counts, with
-   the classes weighted by how frequent they are among all labels.
+   probability. It is fitted on the other half of the sample than the token counts behind
+   it, with the classes weighted by how frequent they are among all labels; its loss also
+   chooses among the values of ``SURE``. The final token
+   scores are those of both halves.
 
 Bounds: at most about ``FIT_DOCS`` labelled documents of each class are read to learn; their
 labels, a few hundred kB, are broadcast. The model is one number per bucket.
@@ -42,7 +44,7 @@ from ticklake.llm.common import plain_words, staged
 BUCKETS = 1 << 18
 FIT_DOCS = 10_000
 PRIOR = 0.05  # pseudo-counts of each token, as a share of its count in both classes
-SURE = 3.0
+SURE = (1.0, 1.5, 2.0, 3.0)  # tried; the best on the calibrating half is taken
 DRIFT = 0.15
 WORDS_KEPT = 300_000
 SPREAD = 1 << 40
@@ -62,7 +64,7 @@ class Buckets(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
 
 
-def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
+def log_odds(toxic: np.ndarray, other: np.ndarray, sure: float) -> np.ndarray:
     """Score of each bucket: shrunken log-odds less the drift."""
     together = (toxic + other).astype(float)
     prior = PRIOR * (together + 1e-3)
@@ -70,7 +72,7 @@ def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     odds = lambda a: np.log(a) - np.log(a.sum() - a)
     delta = odds(one) - odds(zero)
     deviation = np.sqrt(1 / one + 1 / zero)
-    return np.sign(delta) * np.maximum(np.abs(delta) - SURE * deviation, 0) - DRIFT
+    return np.sign(delta) * np.maximum(np.abs(delta) - sure * deviation, 0) - DRIFT
 
 
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
@@ -195,67 +197,77 @@ def fit(
         .join(F.broadcast(picked), F.col("id") == F.col("picked_id")).select("text", "toxic", "half"),
         "labelled",
     )
-    counts = np.zeros((2, BUCKETS))
-    for row in _counted(sample.filter("half = 0")).collect():
-        counts[:, row["bucket"]] = row["other"], row["toxic"]
-    model = Model(log_odds(counts[1], counts[0]), rate)
-    model.decay = decay_of(model.scores, counts[0])
-    best = _best_segments(sample, model)
-    clean = best[(best[:, 0] == 0) & (best[:, 1] > 0)]
-    if len(clean):
-        model.scale = float(np.clip(len(clean) / (clean[:, 1] * np.exp(-model.decay * clean[:, 2])).sum(), 1e-6, 1.0))
-    rows = _features(sample.filter("half = 1"), model)
-    if len(set(rows[:, 0])) == 2:
-        toxic = rows[:, 0] > 0
-        weights = np.where(toxic, rate / toxic.mean(), (1 - rate) / (1 - toxic.mean()))
-        model.curve = logistic(_design(rows[:, 1:]), rows[:, 0], weights)
+    counts = np.zeros((2, 2, BUCKETS))  # half, class, bucket
+    for row in _counted(sample).collect():
+        counts[row["half"], :, row["bucket"]] = row["other"], row["toxic"]
+    models = [Model(log_odds(counts[0, 1], counts[0, 0], sure), rate, decay_of(log_odds(counts[0, 1], counts[0, 0], sure), counts[0, 0])) for sure in SURE]
+    calibrating = sample.filter("half = 1")
+    best = _each(calibrating, models, _best_segment)
+    for place, model in enumerate(models):
+        tokens, score = best[:, 1 + 2 * place], best[:, 2 + 2 * place]
+        clean = (best[:, 0] == 0) & (tokens > 0)
+        if clean.any():
+            expected = (tokens[clean] * np.exp(-model.decay * score[clean])).sum()
+            model.scale = float(np.clip(clean.sum() / expected, 1e-6, 1.0))
+    rows = _each(calibrating, models, Model.evidence)
+    toxic = rows[:, 0] > 0
+    if toxic.all() or not toxic.any():
+        return Model(np.zeros(BUCKETS), rate)
+    weights = np.where(toxic, rate / toxic.mean(), (1 - rate) / (1 - toxic.mean()))
+    losses = []
+    for place, model in enumerate(models):
+        features = rows[:, 1 + 3 * place : 4 + 3 * place]
+        model.curve = logistic(_design(features), toxic.astype(float), weights)
+        p = np.clip(model.probability(features), 1e-9, 1 - 1e-9)
+        losses.append(-(weights * np.log(np.where(toxic, p, 1 - p))).sum())
+    chosen = int(np.argmin(losses))
+    model = models[chosen]
+    other, toxic_counts = counts.sum(axis=0)  # the calibrated curve goes with the scores of both halves
+    model.scores = log_odds(toxic_counts, other, SURE[chosen])
+    model.decay = decay_of(model.scores, other)
     return model
 
 
+def _best_segment(model: Model, codes: np.ndarray) -> tuple[int, float]:
+    return len(codes), max((s for s, _, _ in segments(model.scores[codes])), default=0.0)
+
+
 def _counted(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, counts = Buckets(), np.zeros((2, BUCKETS), dtype=np.int64)
+        buckets, counts = Buckets(), np.zeros((2, 2, BUCKETS), dtype=np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            columns = (batch.column(n).to_pylist() for n in ("text", "toxic", "half"))
+            for text, toxic, half in zip(*columns):
                 codes, times = np.unique(buckets.of(text), return_counts=True)
-                counts[int(toxic), codes] += times
-        held = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(held), pa.array(counts[0, held]), pa.array(counts[1, held])], names=["bucket", "other", "toxic"]
-        )
-
-    return sample.mapInArrow(count, "bucket long, other long, toxic long").groupBy("bucket").agg(
+                counts[half, int(toxic), codes] += times
+        for half in (0, 1):
+            held = np.flatnonzero(counts[half].any(axis=0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([half] * len(held), pa.int32()), pa.array(held), pa.array(counts[half, 0, held]), pa.array(counts[half, 1, held])],
+                names=["half", "bucket", "other", "toxic"],
+            )
+
+    return sample.mapInArrow(count, "half int, bucket long, other long, toxic long").groupBy("half", "bucket").agg(
         F.sum("other").alias("other"), F.sum("toxic").alias("toxic")
     )
 
 
-def _each(sample: DataFrame, shared: Broadcast, values) -> np.ndarray:
-    """Numbers of every sampled document (bounded by the sample): its label and ``values``."""
+def _each(sample: DataFrame, models: list[Model], values) -> np.ndarray:
+    """Numbers of every sampled document (bounded by the sample): its label, and ``values``
+    under each model."""
+    shared = sample.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for batch in batches:
-            rows = [
-                (float(toxic), *values(shared.value, buckets.of(text)))
-                for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([list(map(float, r)) for r in rows], pa.list_(pa.float64()))], names=["n"])
+            rows = []
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                codes = buckets.of(text)
+                rows.append([float(toxic), *(float(v) for m in shared.value for v in values(m, codes))])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["n"])
 
     got = [r["n"] for r in sample.mapInArrow(run, "n array<double>").collect()]
-    return np.array(got, dtype=float).reshape(len(got), -1) if got else np.zeros((0, 4))
-
-
-def _best_segments(sample: DataFrame, model: Model) -> np.ndarray:
-    """Of sampled documents: label, tokens, best segment score."""
-
-    def values(model: Model, codes: np.ndarray) -> tuple[int, float]:
-        return len(codes), max((s for s, _, _ in segments(model.scores[codes])), default=0.0)
-
-    return _each(sample.filter("half = 1"), sample.sparkSession.sparkContext.broadcast(model), values)
-
-
-def _features(sample: DataFrame, model: Model) -> np.ndarray:
-    return _each(sample, sample.sparkSession.sparkContext.broadcast(model), Model.evidence)
+    return np.array(got, dtype=float) if got else np.zeros((0, 1 + 3 * len(models)))
 
 
 def share(docs: DataFrame, model: Model) -> Broadcast:

@@ -40,7 +40,7 @@ from ticklake.llm.components import smallest_reachable
 
 BINS = 320
 MISS = 1e-6
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 _ODD, _EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

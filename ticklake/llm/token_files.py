@@ -27,10 +27,11 @@ order. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,7 +43,7 @@ from tokenizers import Tokenizer
 from ticklake.llm.common import scratch, staged
 
 BLOCK = 16_384  # ids
-MEMO = 150_000  # words remembered per generation
+MEMO = 400_000  # words remembered per generation
 PART = 1 << 20  # characters whose words are held at a time
 
 _ODD = re.compile("[\x1c-\x1f]")  # white space for str.split(), not for tokenizers
@@ -163,6 +164,15 @@ class Encoder:
         self.ends = np.array([
             (self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.library.get_vocab_size())
         ])
+        # the same model for lower-case words of letters alone, which need no other steps
+        spec = json.loads(self.library.to_str())
+        spec["normalizer"] = None
+        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]}
+        self.plain = Tokenizer.from_str(json.dumps(spec)) if self.simple else self.library
+        self.simple &= self.plain.encode("über three", add_special_tokens=False).ids == self._whole("über three")
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -195,7 +205,7 @@ class Encoder:
         """Words of plain letters, many in one text: each ends with its only word-end token."""
         for at in range(0, len(words), 500):
             group = words[at : at + 500]
-            ids = np.array(self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(self.plain.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(group):
                 raise ValueError("a word of letters has several word ends")
@@ -204,22 +214,39 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian uint32."""
-        if not self.splits or _ODD.search(text):
-            return np.array(self._whole(text), dtype="<u4").tobytes()
-        out, at = [], 0
-        while at < len(text):
-            end = text.find(" ", at + PART)
-            end = len(text) if end < 0 else end
-            out += self._words(text[at:end].split())
-            at = end
-        return b"".join(out)
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        known = list(map(self.recent.get, words))
-        if None in known:
-            self._learn(set(words))
-            known = list(map(self.recent.__getitem__, words))
-        return known
+        return next(self.encode_each([text]))
+
+    def encode_each(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text; new words are encoded for about PART characters at a time."""
+        group: list[tuple[str, bool]] = []  # parts, and whether they end their text
+        held, begun = 0, []
+        for text in texts:
+            at = 0
+            while True:
+                end = text.find(" ", at + PART)
+                end = len(text) if end < 0 or not self.splits or _ODD.search(text) else end
+                group.append((text[at:end], end == len(text)))
+                held += end - at
+                at = end
+                if held >= PART:
+                    yield from self._encode_group(group, begun)
+                    group, held = [], 0
+                if at == len(text):
+                    break
+        yield from self._encode_group(group, begun)
+
+    def _encode_group(self, group: list[tuple[str, bool]], begun: list[bytes]) -> Iterator[bytes]:
+        whole = [not self.splits or _ODD.search(part) is not None for part, _ in group]
+        split = [[] if alone else part.split() for (part, _), alone in zip(group, whole)]
+        self._learn(set().union(*split))
+        for (part, last), alone, words in zip(group, whole, split):
+            if alone:
+                begun.append(np.array(self._whole(part), dtype="<u4").tobytes())
+            else:
+                begun += map(self.recent.__getitem__, words)
+            if last:
+                yield b"".join(begun)
+                begun.clear()
 
 
 @lru_cache(maxsize=1)
@@ -241,7 +268,7 @@ def write(
     placed = spread.sortWithinPartitions(F.col("id").asc_nulls_first(), tie, "text")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode_each = encoder(tokenizer).encode_each
         end = np.uint32(end_id).astype("<u4").tobytes()
         ids, counts, starts, firsts = [], [], [], []
         waiting, held, done, place = [], 0, 0, 0
@@ -265,8 +292,9 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([piece], pa.binary())], names=["piece"])
 
         for batch in batches:
-            for number, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-                found = encode(text.as_py()) + end
+            texts = (text.as_py() for text in batch.column("text"))
+            for number, found in zip(batch.column("id").to_pylist(), encode_each(texts)):
+                found += end
                 ids.append(number)
                 counts.append(len(found) // 4)
                 waiting.append(found)

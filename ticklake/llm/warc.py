@@ -220,10 +220,15 @@ def archive(
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(n) for n in ("id", "url", "payload", "digest", "first")]
+            pieces, held = [], 0
             for at in range(batch.num_rows):
                 data = record(*(c[at].as_py() for c in columns), date)
-                piece = member(data) if compress else data[:-1]
-                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.binary())], names=["piece"])
+                pieces.append(member(data) if compress else data[:-1])
+                held += len(pieces[-1])
+                if held > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], names=["piece"])
+                    pieces, held = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], names=["piece"])
 
     ending = EMPTY_MEMBER.decode("iso-8859-1") if compress else "\n"
     (

@@ -100,8 +100,10 @@ def test_tick_documents(spark):
     assert [(r.tick_number, r.vdf_input, r.vdf_iterations, r.transactions) for r in one] == [(3, "", 0, [])]
     flat = lookup.tick_transactions(ticks(spark), transactions(spark)).collect()
     assert sorted((r.tick_number, r.sequence_number or 0) for r in flat) == [
-        (1, 1), (1, 1), (1, 2), (1, 12), (2, 2), (3, 0)
+        (1, 1), (1, 2), (1, 12), (2, 2), (3, 0)
     ]
+    whole = lookup.tick_documents(ticks(spark), transactions(spark), document_rows=None).collect()
+    assert {r.tick_number: len(r.transactions) for r in whole} == {1: 3, 2: 1, 3: 0}
 
 
 @pytest.mark.parametrize("wanted, found", [

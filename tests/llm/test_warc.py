@@ -101,3 +101,22 @@ def test_archives(spark, tmp_path, compress):
     plain = gzip.decompress(raw) if compress else raw
     assert plain.count(b"WARC-Record-ID:") == len(rows) and plain.endswith(b"\r\n\r\n")
     assert warc.archive_and_read(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_long_urls(spark, tmp_path, compress):
+    urls = {1: "data:text/html," + "x" * 300_000, 2: "http://x/" + "ü " * 200_000, 3: "http://x/" + "y" * 65_536 + " WARC/1.1", 4: "u"}
+    rows = [(i, u, f"<p>{i}</p>" * 30) for i, u in urls.items()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    warc.archive(pages.coalesce(1), folder, compress=compress)
+    got = warc.read(spark, folder).collect()
+    assert not [r["reason"] for r in got if r["reason"]]
+    assert {r["row_id"]: r["target"] for r in got} == {i: u.replace(" ", "%20") for i, u in urls.items()}
+
+
+def test_header_ends_before_the_next_version_line():
+    whole = warc.record(5, "u", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None, DATE)
+    cut = whole[: whole.index(b"Content-Type")]
+    found = list(warc.salvaged(cut + whole))
+    assert [(f.offset, f.reason) for f in found] == [(0, "the header has no end"), (len(cut), None)]

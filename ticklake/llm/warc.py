@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import arrow_schema, scratch
 
 SMALLEST = 100
-LONGEST_HEADER = 1 << 16
 SLICE = 1 << 16
 GZIP = b"\x1f\x8b\x08"
 EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE_FOR = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_HEADER_END = re.compile(rb"\r\n(?:(\r\n)|WARC/1\.[01]\r\n)")  # or the next record's version line
 _CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -105,11 +105,13 @@ class Damaged(Exception):
 
 def _parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Fields, block and end of the plain record at a place."""
-    if not _VERSION.match(data, at):
+    version = _VERSION.match(data, at)
+    if not version:
         raise Damaged("no version line")
-    end = data.find(b"\r\n\r\n", at, at + LONGEST_HEADER)
-    if end < 0:
+    ending = _HEADER_END.search(data, version.end() - 2)
+    if not ending or not ending[1]:
         raise Damaged("the header has no end")
+    end = ending.start()
     fields: dict[str, str] = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")

@@ -120,3 +120,12 @@ def test_header_ends_before_the_next_version_line():
     cut = whole[: whole.index(b"Content-Type")]
     found = list(warc.salvaged(cut + whole))
     assert [(f.offset, f.reason) for f in found] == [(0, "the header has no end"), (len(cut), None)]
+
+
+def test_ids_of_all_64_bits(spark):
+    ids = [-(1 << 63), -(10**18), 10**18, (1 << 63) - 1]
+    rows = [(i, "u", f"<p>{i}</p>" * 30) for i in ids] + [((1 << 63) - 2, "u", f"<p>{ids[0]}</p>" * 30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r["row_id"], r["refers_to"]) for r in warc.archive_and_read(pages).collect()}
+    assert got == {(i, None) for i in ids} | {((1 << 63) - 2, ids[0])}
+    assert warc._long(str(1 << 63)) is None and warc._long(str(-(1 << 63) - 1)) is None

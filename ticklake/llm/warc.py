@@ -269,11 +269,17 @@ def _as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _long(value: str) -> int | None:
+    """A signed 64-bit number, or null."""
+    number = int(value) if re.fullmatch("-?[0-9]{1,19}", value) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def _row(path: str, found: Found, payloads: bool) -> tuple:
     if found.reason is not None:
         return (path, found.offset, found.length, found.reason, *[None] * 7)
     fields, whole = found.fields, found.fields["warc-type"] != "revisit"
-    number = lambda name: int(fields[name]) if re.fullmatch("-?[0-9]{1,18}", fields.get(name, "")) else None
+    number = lambda name: _long(fields.get(name, ""))
     payload = found.payload if whole else None
     return (
         path, found.offset, found.length, None, fields["warc-type"], number("row-id"), number("refers-to-row-id"),

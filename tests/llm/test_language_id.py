@@ -73,3 +73,13 @@ def test_sample_is_bounded(spark):
     model = li.fit(learn, sample_docs=20)
     assert model.sizes[0] <= 20 * (len("some words") + 1) + 1
     assert np.isfinite(model.sizes[0])
+
+
+def test_all_sampled_documents_are_learned_from(spark):
+    """Each document has a letter of its own, on its later half; long ones do not crowd out others."""
+    letters = [chr(0x4E00 + i) for i in range(100)]
+    rows = [(i, "the same beginning " * 150 + (c + " ") * 6000, "en") for i, c in enumerate(letters)]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=100, automaton_chars=6000)
+    learned = {model.letters[s - li.LETTERS] for s in set(model.edges[0][1].tolist()) if s >= li.LETTERS}
+    assert len(learned & set(letters)) >= 60 and model.sizes == [6000]
+    assert li.evenly([5, 100, 1, 50], 60) == [5, 27, 1, 27] and li.evenly([2, 3], 60) == [2, 3]

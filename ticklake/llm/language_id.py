@@ -11,8 +11,8 @@ parsed, in windows of ``WINDOW`` symbols that each begin a new phrase; a batch o
 walks all automata at once in numpy, so no step is taken per letter in Python.
 
 Bounds: at most ``sample_docs`` labelled documents per language, each with at most
-``sample_chars`` characters, are gathered, and the automaton is built over at most
-``automaton_chars`` symbols of them. The compact automata (a few edges per symbol) are
+``sample_chars`` characters from a hashed place on, are gathered, and the automaton is
+built over at most ``automaton_chars`` symbols, shared evenly by all of them. The compact automata (a few edges per symbol) are
 broadcast, and each Python worker expands them once.
 
 Defined results: null or letterless text is ``und`` with score 0, as is every text when
@@ -136,8 +136,12 @@ def fit(
         named.filter(spread <= F.create_map(*limits)[F.col(lang_col).cast("string")])
         .select(
             F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-            F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("text"),
+            F.col(text_col).cast("string").alias("text"),
         )
+        .withColumn("text", F.substring(
+            "text", 1 + F.pmod(F.xxhash64("text", F.lit(2)), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1).cast("int"),
+            F.lit(sample_chars),
+        ))
         .filter(r"text RLIKE '\\p{L}'")
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample_docs)
@@ -156,7 +160,9 @@ def fit(
     codes = code_table(letters)
     model = Model(letters, sorted(texts), [], [], [])
     for language in model.languages:
-        sequence = symbols(" " + " ".join(texts[language]), codes)[:automaton_chars]
+        pieces = [symbols(" " + text, codes) for text in texts[language]]
+        sizes = evenly([len(piece) for piece in pieces], automaton_chars)
+        sequence = np.concatenate([piece[:size] for piece, size in zip(pieces, sizes)])
         states, *edges = suffix_automaton(sequence.tolist())
         model.sizes.append(len(sequence))
         model.states.append(states)
@@ -164,6 +170,15 @@ def fit(
     return model
 
 
+def evenly(lengths: list[int], total: int) -> list[int]:
+    """So much of each length that it makes the total, or all; what short ones leave goes to longer ones."""
+    shares = [0] * len(lengths)
+    for done, place in enumerate(sorted(range(len(lengths)), key=lambda i: lengths[i])):
+        shares[place] = min(lengths[place], total // (len(lengths) - done))
+        total -= shares[place]
+    return shares
+
+
 class Parser:
     """Counts phrases of texts under every language of a model."""
 

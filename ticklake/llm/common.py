@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +54,18 @@ _APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 def plain_words(text: str | None) -> list[bytes]:
     """Lower-case runs of characters other than ASCII punctuation, controls and white space."""
     return (text or "").lower().encode("utf-8").translate(_APART).split()
+
+
+_TERMS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
+
+
+def term_parts(text: str | None, part: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The runs of letters, digits and non-ASCII characters of a text, only A-Z lower-cased,
+    in order and in lists of bounded length (a single longer run stays whole)."""
+    data = (text or "").encode("utf-8", "surrogatepass").translate(_TERMS)
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + part)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end

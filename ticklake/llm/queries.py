@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, pii, token_counts, token_files, toxicity, warc
+from ticklake.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, pii, ranked_search
+from ticklake.llm import token_counts, token_files, toxicity, warc
 from ticklake.llm.common import crc32_of, table
 
 
@@ -77,6 +78,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_warc": op2_warc,
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_decontaminate": op10_decontaminate,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 SQL = {
@@ -106,4 +113,35 @@ SQL = {
                      sha256(coalesce(text, '')) AS text_sha256
               FROM documents WINDOW same AS (PARTITION BY coalesce(text, '')))
     """,
+    "op13_ranked_search": r"""
+        WITH doc_terms AS (
+            SELECT row, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM (SELECT doc_id, row_number() OVER () AS row,
+                         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                  FROM documents)),
+        lengths AS (SELECT row, doc_id, len(terms)::HUGEINT AS n FROM doc_terms WHERE len(terms) > 0),
+        corpus AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM lengths),
+        item_terms AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        counts AS (
+            SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM doc_terms)
+            WHERE term IN (SELECT term FROM item_terms) GROUP BY row, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), corpus),
+        scores AS (
+            SELECT item_id, doc_id, row,
+                   sum(w * times * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))::BIGINT)::BIGINT AS score
+            FROM (SELECT item_id, term, count(*) AS times FROM item_terms GROUP BY item_id, term)
+            JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (row), corpus
+            GROUP BY item_id, doc_id, row)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+              FROM scores WHERE score > 0)
+        WHERE rank <= 10
+    """,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, conversation_repair, decontaminate, exact_dedup, language_id, near_dedup, pii, ranked_search
-from ticklake.llm import token_counts, token_files, toxicity, warc
+from ticklake.llm import bpe, conversation_repair, decontaminate, exact_dedup, language_id, license_scan, near_dedup
+from ticklake.llm import pii, ranked_search, token_counts, token_files, toxicity, warc
 from ticklake.llm.common import crc32_of, table
 
 
@@ -83,6 +83,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -197,6 +202,7 @@ QUERIES = {
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_decontaminate": op10_decontaminate,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_license_scan": op12_license_scan,
     "op13_ranked_search": op13_ranked_search,
 }
 

@@ -94,8 +94,8 @@ def test_changed_and_moved_only(spark, group_rows):
     assert {r.arrival for r in got} == moved
 
 
-@pytest.mark.parametrize("group_rows", [None, SPLIT])
-def test_sequence_state(spark, group_rows):
+@pytest.mark.parametrize("slices", [None, 24])
+def test_sequence_state(spark, slices):
     rng = random.Random(4)
     rows, number = [], 0
     for source, arrival, v in hot_rows(4):
@@ -115,7 +115,7 @@ def test_sequence_state(spark, group_rows):
         expected[arrival] = (last, last_time, ok)
         if ok:
             state[source] = (number, time)
-    got = quality.sequence_state(df, group_rows=group_rows).collect()
+    got = quality.sequence_state(df, slices).collect()
     assert {r.arrival: (r.last_number, r.last_time, r.accepted) for r in got} == expected
 
 
@@ -125,7 +125,7 @@ def test_sequence_state_stuck_source(spark):
     df = spark.createDataFrame(
         rows, "source_id string, arrival int, tick_number bigint, timestamp bigint, good boolean"
     )
-    got = quality.sequence_state(df, group_rows=SPLIT).collect()
+    got = quality.sequence_state(df, 24).collect()
     assert sum(r.accepted for r in got) == 1
     assert {r.last_number for r in got if r.arrival > 0} == {10**9}
 
@@ -200,8 +200,8 @@ def test_windowed_events(spark, group_rows, size):
     }
 
 
-@pytest.mark.parametrize("group_rows", [None, SPLIT])
-def test_token_bucket(spark, group_rows):
+@pytest.mark.parametrize("slices", [None, 24])
+def test_token_bucket(spark, slices):
     rng = random.Random(7)
     rows, at = [], 0
     for key, i, _ in hot_rows(7):
@@ -216,7 +216,7 @@ def test_token_bucket(spark, group_rows):
         tokens = min(tokens + (at - last) / 1_000_000 * 0.25, 4)
         expected[i] = tokens >= 1
         state[key] = (tokens - 1 if tokens >= 1 else tokens, at)
-    got = metrics.admit(df, 0.25, 4, group_rows=group_rows).collect()
+    got = metrics.admit(df, 0.25, 4, slices=slices).collect()
     assert {r.event_id: r.admitted for r in got} == expected
     assert 0 < sum(expected.values()) < len(expected)
 
@@ -232,7 +232,7 @@ def test_flush_statistics(spark, group_rows):
         expected[i] = (len(past[key]), sum(past[key]) / len(past[key]), ema[key])
     means = {r.seq: (r.flush_count, r.average_ms)
              for r in metrics.flush_means(df, group_rows).collect()}
-    emas = {r.seq: r.ema_ms for r in metrics.flush_ema(df, group_rows=group_rows).collect()}
+    emas = {r.seq: r.ema_ms for r in metrics.flush_ema(df, slices=group_rows and 24).collect()}
     assert {i: (*means[i], emas[i]) for i in means} == expected
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticklake.operators.ordered import fold, running, slice_hot
+from ticklake.operators.ordered import running, slice_hot
+from ticklake.operators.slices import Bucket, Smoothing, scan
 
 # Texts of the error categories, alert levels, limits of retries.
 CATEGORIES = {
@@ -22,6 +24,9 @@ MAX_ATTEMPTS = 3
 MAX_AGE = timedelta(minutes=5)
 ALPHA = 0.1
 
+# Sums of this type are the same in any order.
+EXACT = "decimal(28,9)"
+
 
 def error_category(error: Column) -> Column:
     """The first category with a marker that occurs in the text."""
@@ -100,40 +105,30 @@ def progress_stats(history: DataFrame) -> DataFrame:
 
 
 def flush_means(flush_log: DataFrame, group_rows: int | None = None) -> DataFrame:
-    """Flushes with their number so far and the running mean duration, per query."""
+    """Flushes with their number so far and the running mean duration, per query.
+
+    Durations are added up as decimals of nine places, so that the order in which parts of
+    a hot query are added changes no digit."""
     rows = running(
         flush_log, ["query_id"], ["seq"],
         {
             "flush_count": ("sum", F.lit(1).cast("bigint")),
-            "_total": ("sum", F.col("duration_ms")),
+            "_total": ("sum", F.col("duration_ms").cast(EXACT)),
         },
         inclusive=True,
         group_rows=group_rows,
     )
-    return rows.withColumn("average_ms", F.col("_total") / F.col("flush_count")).drop("_total")
-
-
-def smoothing_step(alpha: float = ALPHA):
-    """Fold step of an exponential moving average that starts at the first value."""
-
-    def step(state, columns, outputs):
-        for value in columns[0]:
-            state = value if state is None else (1 - alpha) * state + alpha * value
-            outputs[0].append(state)
-        return state
+    mean = F.col("_total").cast("double") / F.col("flush_count")
+    return rows.withColumn("average_ms", mean).drop("_total")
 
-    return step
 
-
-def flush_ema(
-    flush_log: DataFrame, alpha: float = ALPHA, group_rows: int | None = None
-) -> DataFrame:
+def flush_ema(flush_log: DataFrame, alpha: float = ALPHA, slices: int | None = None) -> DataFrame:
     """Flushes with the exponential moving average of their duration, per query."""
-    return fold(
-        flush_log, ["query_id"], ["seq"], smoothing_step(alpha), None,
-        {"value": F.col("duration_ms").cast("double")},
-        [T.StructField("ema_ms", T.DoubleType())],
-        group_rows,
+    value = F.col("duration_ms").cast("double")
+    least, greatest = flush_log.agg(F.min(value), F.max(value)).first()
+    return scan(
+        flush_log, ["query_id"], ["seq"], Smoothing(alpha, (least or 0.0, greatest or 0.0)), {"value": value},
+        [T.StructField("ema_ms", T.DoubleType())], slices,
     )
 
 
@@ -165,23 +160,12 @@ def split_retries(items: DataFrame, now: datetime, **limits) -> tuple[DataFrame,
     return again, decided.filter(F.col("dropped").isNotNull())
 
 
-def bucket_step(rate_per_second: float, burst: int):
-    """Fold step of a token bucket: full at first, refilled by elapsed time up to
-    ``burst``; a visit that finds a whole token takes it and is admitted."""
-
-    def step(state, columns, outputs):
-        tokens, last = state
-        for time in columns[0]:
-            if last is not None:
-                tokens = min(tokens + (time - last) / 1_000_000 * rate_per_second, burst)
-            last = time
-            admitted = tokens >= 1.0
-            if admitted:
-                tokens -= 1.0
-            outputs[0].append(admitted)
-        return [tokens, last]
-
-    return step
+def bucket(rate_per_second: float, burst: int) -> Bucket:
+    """A token bucket: full at first, refilled by elapsed time up to ``burst``; a visit that
+    finds a whole token takes it and is admitted. The rate is taken as a fraction whose
+    denominator has at most twelve digits, so 1 / 3600 is meant exactly."""
+    rate = Fraction(rate_per_second).limit_denominator(10**12)
+    return Bucket(rate.numerator, rate.denominator * 1_000_000, burst)
 
 
 BUCKET_OUTPUTS = [T.StructField("admitted", T.BooleanType())]
@@ -192,12 +176,10 @@ def admit(
     rate_per_second: float,
     burst: int,
     order: tuple[str, ...] = ("ts", "event_id"),
-    group_rows: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Events of each ``key``, marked admitted or limited by a token bucket."""
-    return fold(
-        events, ["key"], list(order), bucket_step(rate_per_second, burst), [float(burst), None],
-        {"time": F.unix_micros(F.col(order[0]).cast("timestamp"))},
-        BUCKET_OUTPUTS,
-        group_rows,
+    return scan(
+        events, ["key"], list(order), bucket(rate_per_second, burst),
+        {"time": F.unix_micros(F.col(order[0]).cast("timestamp"))}, BUCKET_OUTPUTS, slices,
     )

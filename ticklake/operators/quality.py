@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticklake.operators.ordered import fold, running
 from ticklake.operators.parse import lower_hex, null_to_empty
+from ticklake.operators.sequence import MAX_JUMP, STATE_FIELDS, sequence_state, sequence_step  # noqa: F401
 
 # The limits and the critical rules.
 MAX_TRANSACTIONS = 10_000
-MAX_JUMP = 1_000
 MAX_ITERATIONS = 1_000_000
 FUTURE_LIMIT = timedelta(minutes=5)
 PAST_LIMIT = timedelta(hours=24)
@@ -329,24 +328,6 @@ def issue_rows(checked: DataFrame) -> DataFrame:
 # --- sequence rules -----------------------------------------------------------------
 
 
-def sequence_step(state, columns, outputs):
-    """State is the last valid tick number and time. Only a tick without any issue moves
-    it on, so after a jump beyond the limit all later ticks keep failing."""
-    last, last_time = state
-    before, before_time, accepted = outputs
-    for number, time, good in zip(*columns):
-        before.append(last)
-        before_time.append(last_time)
-        if last > 0 and not 0 < number - last <= MAX_JUMP:
-            good = False
-        if time and last_time > 0 and time < last_time:
-            good = False
-        accepted.append(good)
-        if good:
-            last, last_time = number, time
-    return [last, last_time]
-
-
 def sequence_issues(number: Column, time: Column, last: Column, last_time: Column) -> Column:
     """Broken sequence rules, given the last valid number and time (0 = none). The
     difference is unsigned, so going back breaks the jump limit as well."""
@@ -398,54 +379,6 @@ def time_sequence_issues(time: Column, last_time: Column) -> Column:
     )
 
 
-STATE_FIELDS = [
-    T.StructField("last_number", T.LongType()),
-    T.StructField("last_time", T.LongType()),
-    T.StructField("accepted", T.BooleanType()),
-]
-
-
-def sequence_state(
-    slim: DataFrame, mode: str = "exact", group_rows: int | None = None
-) -> DataFrame:
-    """Slim rows (source_id, arrival, tick_number, timestamp, good) with the last valid
-    number and time before each, and whether the row itself is accepted.
-
-    ``exact`` lets only fully valid ticks move the state. ``lag`` compares with the
-    highest number and time of the earlier rows, valid or not: cheaper, other answers.
-    """
-    if mode == "exact":
-        return fold(
-            slim,
-            ["source_id"],
-            ["arrival"],
-            sequence_step,
-            [0, 0],
-            {"number": F.col("tick_number"), "time": F.col("timestamp"), "good": F.col("good")},
-            STATE_FIELDS,
-            group_rows,
-        )
-    if mode != "lag":
-        raise ValueError(f"unknown sequence mode {mode!r}")
-    rows = running(
-        slim,
-        ["source_id"],
-        ["arrival"],
-        {
-            "last_number": ("max", F.col("tick_number")),
-            "last_time": ("max", F.col("timestamp")),
-        },
-        group_rows=group_rows,
-    ).fillna(0, ["last_number", "last_time"])
-    broken = F.array_size(
-        F.concat(
-            sequence_issues(*[F.col(c) for c in _SEQUENCE_COLUMNS]),
-            time_sequence_issues(F.col("timestamp"), F.col("last_time")),
-        )
-    )
-    return rows.withColumn("accepted", F.col("good") & (broken == 0))
-
-
 _SEQUENCE_COLUMNS = ["tick_number", "timestamp", "last_number", "last_time"]
 
 
@@ -464,15 +397,14 @@ def validate(
     ticks: DataFrame,
     now: datetime,
     strict: bool = False,
-    sequence: str = "exact",
-    group_rows: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Ticks with ``issues`` (all rules, in check order) and ``is_valid``.
 
     Only slim rows pass through the sequence fold; of those, only the ones that broke a
     rule are joined back, on the key (source_id, arrival).
     """
-    state = sequence_state(slim_ticks(ticks, now, strict), sequence, group_rows)
+    state = sequence_state(slim_ticks(ticks, now, strict), slices)
     number = sequence_issues(*[F.col(c) for c in _SEQUENCE_COLUMNS])
     time = time_sequence_issues(F.col("timestamp"), F.col("last_time"))
     broken = state.select(

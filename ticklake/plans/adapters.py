@@ -197,6 +197,19 @@ def flush_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FLUSH_REAL = """flush_log AS (
+  SELECT 'q' || user_id AS query_id, event_id AS seq, value / 7 AS duration_ms FROM events)"""
+
+
+def flush_real(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations that no short decimal can write."""
+    return read(spark, sf_dir, "events").select(
+        F.concat(F.lit("q"), F.col("user_id").cast("string")).alias("query_id"),
+        F.col("event_id").alias("seq"),
+        (F.col("value") / 7).alias("duration_ms"),
+    )
+
+
 DEAD_LETTER = """dead_letter AS (
   SELECT event_id AS id, CAST(event_id % 5 AS INTEGER) AS retry_count, ts AS first_attempt,
     ts AS last_attempt FROM events)"""

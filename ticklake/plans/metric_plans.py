@@ -33,6 +33,8 @@ QUERIES = {
     "progress_stats": lambda s, d: m.progress_stats(m.progress_history(a.progress(s, d))),
     "flush_means": lambda s, d: m.flush_means(a.flush_log(s, d)),
     "flush_ema": lambda s, d: m.flush_ema(a.flush_log(s, d)),
+    "flush_means_real": lambda s, d: m.flush_means(a.flush_real(s, d)),
+    "flush_ema_real": lambda s, d: m.flush_ema(a.flush_real(s, d)),
     "retry_split": lambda s, d: m.retry_decision(a.dead_letter(s, d), NOW, max_age=m.MAX_AGE * 2000),
     "rate_limited": lambda s, d: m.admit(a.visits(s, d), 1 / 3600, 2),
 }
@@ -76,6 +78,20 @@ SELECT query_id, seq, duration_ms, count(*) OVER w AS flush_count,
 WINDOW w AS (PARTITION BY query_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
     "flush_ema": f"""WITH RECURSIVE {a.FLUSH_LOG},
 numbered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY seq) AS rn FROM flush_log),
+walk AS (
+  SELECT query_id, seq, duration_ms, rn, CAST(duration_ms AS DOUBLE) AS ema_ms FROM numbered
+  WHERE rn = 1
+  UNION ALL
+  SELECT n.query_id, n.seq, n.duration_ms, n.rn,
+    0.9::DOUBLE * w.ema_ms + 0.1::DOUBLE * CAST(n.duration_ms AS DOUBLE)
+  FROM walk w JOIN numbered n ON n.query_id = w.query_id AND n.rn = w.rn + 1)
+SELECT query_id, seq, duration_ms, ema_ms FROM walk""",
+    "flush_means_real": f"""WITH {a.FLUSH_REAL}
+SELECT query_id, seq, duration_ms, count(*) OVER w AS flush_count,
+  CAST(sum(CAST(duration_ms AS DECIMAL(28,9))) OVER w AS DOUBLE) / count(*) OVER w AS average_ms
+FROM flush_log WINDOW w AS (PARTITION BY query_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
+    "flush_ema_real": f"""WITH RECURSIVE {a.FLUSH_REAL},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY seq) AS rn FROM flush_log),
 walk AS (
   SELECT query_id, seq, duration_ms, rn, CAST(duration_ms AS DOUBLE) AS ema_ms FROM numbered
   WHERE rn = 1

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ticklake.operators.ordered import running
 from ticklake.operators import quality as q
 from ticklake.operators import reorg
 from ticklake.plans import adapters as a
@@ -125,8 +126,15 @@ def _tick_issues(strict):
     return lambda spark, sf_dir: _exploded(q.tick_issues(_nested(spark, sf_dir), NOW, strict))
 
 
-def _state(spark, sf_dir, mode="exact"):
-    return q.sequence_state(q.slim_ticks(_nested(spark, sf_dir), NOW), mode)
+def _state(spark, sf_dir):
+    return q.sequence_state(q.slim_ticks(_nested(spark, sf_dir), NOW))
+
+
+def _highest_before(spark, sf_dir):
+    """The highest number and time of the earlier ticks, valid or not."""
+    highest = {"last_number": ("max", F.col("tick_number")), "last_time": ("max", F.col("timestamp"))}
+    rows = running(q.slim_ticks(_nested(spark, sf_dir), NOW), ["source_id"], ["arrival"], highest)
+    return rows.fillna(0, [*highest]).select("source_id", "arrival", *highest)
 
 
 def _severity(spark, sf_dir):
@@ -163,9 +171,7 @@ QUERIES = {
     "tick_issues": _tick_issues(False),
     "tick_issues_strict": _tick_issues(True),
     "sequence_state_exact": lambda s, d: _state(s, d).drop("good"),
-    "sequence_state_lag": lambda s, d: _state(s, d, "lag").select(
-        "source_id", "arrival", "last_number", "last_time"
-    ),
+    "sequence_state_lag": _highest_before,
     "validated_issues": lambda s, d: _exploded(q.validate(_nested(s, d), NOW)),
     "validation_severity": _severity,
     "validation_stats": lambda s, d: q.validation_stats(_state(s, d)).withColumn(

@@ -126,8 +126,8 @@ def admit_stream(
     batches to look at it. A run with the ``availableNow`` trigger then ends only if
     ``spark.sql.streaming.noDataMicroBatches.enabled`` is off.
     """
+    bucket = metrics.bucket(rate_per_second, burst)
     return fold_stream(
-        events, ["key"], ["ts", "event_id"], metrics.bucket_step(rate_per_second, burst),
-        [float(burst), None], {"time": F.unix_micros(F.col("ts").cast("timestamp"))},
+        events, ["key"], ["ts", "event_id"], bucket.step, bucket.start, {"time": F.unix_micros(F.col("ts").cast("timestamp"))},
         metrics.BUCKET_OUTPUTS, idle_ms,
     )

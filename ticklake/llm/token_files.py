@@ -175,6 +175,8 @@ class Encoder:
         self.simple &= self.plain.encode("über three", add_special_tokens=False).ids == self._whole("über three")
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}  # lower-case words of letters
+        self.marks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -182,35 +184,43 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         if len(self.recent) > MEMO:
             self.older, self.recent = self.recent, {}
-        apart, simple = [], {}
-        for word in words.difference(self.recent):
-            known = self.older.get(word)
+        if len(self.stems) > MEMO:
+            self.stems = {}
+        recent, older, plain = self.recent, self.older, _PLAIN.fullmatch
+        apart, simple = [], []
+        for word in words.difference(recent):
+            known = older.get(word)
             if known is not None:
-                self.recent[word] = known
-                continue
-            split = _PLAIN.fullmatch(word) if self.simple else None
-            if split:
-                simple[word] = split[1].lower(), split[2]
+                recent[word] = known
+            elif self.simple and (split := plain(word)):
+                simple.append(split)
             else:
                 apart.append(word)
-        stems = {stem for stem, _ in simple.values()}.difference(self.recent)
-        self._encode_plain(list(stems))
-        apart += {mark for _, mark in simple.values() if mark}.difference(self.recent)
+        lower = [split[1].lower() for split in simple]
+        self._encode_plain(list(set(lower).difference(self.stems)))
+        stems, marks = self.stems, self.marks
+        for split, stem in zip(simple, lower):
+            mark = split[2]
+            if mark not in marks:
+                marks[mark] = self._bytes(self._whole(mark))
+            recent[split[0]] = stems[stem] + marks[mark] if mark else stems[stem]
         for encoding, word in zip(self.library.encode_batch_fast(apart, add_special_tokens=False), apart):
-            self.recent[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        for word, (stem, mark) in simple.items():
-            self.recent[word] = self.recent[stem] + self.recent[mark] if mark else self.recent[stem]
+            recent[word] = self._bytes(encoding.ids)
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _encode_plain(self, words: list[str]) -> None:
         """Words of plain letters, many in one text: each ends with its only word-end token."""
         for at in range(0, len(words), 500):
             group = words[at : at + 500]
             ids = np.array(self.plain.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(group):
+            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            if len(cuts) != len(group) + 1 or cuts[-1] != 4 * len(ids):
                 raise ValueError("a word of letters has several word ends")
-            for word, piece in zip(group, np.split(ids, cuts[:-1])):
-                self.recent[word] = piece.tobytes()
+            data = ids.tobytes()
+            self.stems.update(zip(group, [data[low:high] for low, high in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian uint32."""

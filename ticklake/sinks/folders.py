@@ -10,6 +10,39 @@ def _path(spark: SparkSession, path: str):
     return jvm_path, jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+# Below a table, while it is compacted: folders that do not count yet, and from then on
+# folders that do not count any more. Spark's readers pass over names with an underscore.
+MADE, REPLACED = "_compaction/made", "_compaction/replaced"
+
+
+def hidden(spark: SparkSession, path: str) -> list[str]:
+    """Folders that readers must leave out: none, unless a compaction is under way."""
+    replaced = read_lines(spark, f"{path}/{REPLACED}")
+    return replaced if replaced is not None else read_lines(spark, f"{path}/{MADE}") or []
+
+
+def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small file that is there whole or not at all."""
+    target, fs = _path(spark, path)
+    draft, _ = _path(spark, f"{path}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray("\n".join(lines).encode()))
+    stream.close()
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str] | None:
+    """The lines of a small file; None if it is not there."""
+    target, fs = _path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    return data.decode().split("\n")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm_path, fs = _path(spark, path)
     return fs.exists(jvm_path)

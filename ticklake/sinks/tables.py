@@ -75,10 +75,26 @@ def read_rows(
             T.StructField("batch_id", T.LongType()),
         ]
     )
-    rows = spark.read.schema(stored).parquet(path)
+    rows = _counted(spark.read.schema(stored).parquet(path), path, PARTITIONS)
     return between(rows, time, since, until)
 
 
+def _counted(rows: DataFrame, path: str, partitions: Sequence[str]) -> DataFrame:
+    """Rows without the folders that a compaction under way has doubled."""
+    spark = rows.sparkSession
+    hidden = [
+        F.struct(*[F.lit(value).cast(dict(rows.dtypes)[name]) for name, value in _values(folder, partitions).items()])
+        for folder in folders.hidden(spark, path)
+    ]
+    if not hidden:
+        return rows
+    return rows.filter(~F.struct(*[F.col(c) for c in partitions]).isin(*hidden))
+
+
+def _values(folder: str, partitions: Sequence[str]) -> dict[str, str]:
+    return dict(part.split("=", 1) for part in folder.split("/")[-len(partitions) :])
+
+
 def between(
     rows: DataFrame, time: str, since: datetime | None, until: datetime | None
 ) -> DataFrame:
@@ -110,7 +126,7 @@ def read_current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def write_prices(prices: DataFrame, path: str, batch_id: int = 0) -> None:
     """Store prices; the first one of a market and time wins, within the batch and
-    against what is stored. Only the stored dates that the batch touches are read."""
+    against what is stored. Only the dates of the batch are read of what is stored."""
     spark = prices.sparkSession
     first = first_per_key(prices, schemas.PRICE_KEYS, ["arrival"])
     first = first.select(
@@ -118,12 +134,10 @@ def write_prices(prices: DataFrame, path: str, batch_id: int = 0) -> None:
     )
     fresh = first
     if folders.exists(spark, path):
-        span = prices.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
-        if span["low"] is None:
-            return
+        # At most one row per day of the batch comes to the driver.
+        days = [r["day"] for r in prices.select(F.to_date("ts").alias("day")).distinct().collect()]
         stored = read_prices(spark, path, dict(prices.dtypes)["ts"]).filter(
-            F.col("p_date").between(F.lit(span["low"].date()), F.lit(span["high"].date()))
-            & (F.col("batch_id") != batch_id)
+            F.col("p_date").isin([d for d in days if d is not None]) & (F.col("batch_id") != batch_id)
         )
         fresh = first.join(stored, schemas.PRICE_KEYS, "left_anti")
     dated = fresh.withColumns(
@@ -133,9 +147,10 @@ def write_prices(prices: DataFrame, path: str, batch_id: int = 0) -> None:
 
 
 def read_prices(spark: SparkSession, path: str, time_type: str = "timestamp") -> DataFrame:
-    return spark.read.schema(
+    rows = spark.read.schema(
         f"market_id string, ts {time_type}, price decimal(18,8), p_date date, batch_id bigint"
     ).parquet(path)
+    return _counted(rows, path, ["p_date", "batch_id"])
 
 
 def show_rows(rows: DataFrame, limit: int | None = None) -> None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.functions.session import scratch_path
+from ticklake.functions.session import cut_lineage
+from ticklake.operators.lookup import current
 from ticklake.operators.rollups import Rollup
 from ticklake.sinks import folders
 from ticklake.sinks.tables import PARTITIONS, between, replace_partitions
@@ -34,33 +35,63 @@ def refresh(
     This is also how late and invalidated rows reach a rollup. A bucket left without
     rows loses its folder.
     """
-    spark = source.sparkSession
     for at in (since, until):
-        if (at - datetime(1970, 1, 1)) % rollup.width:
-            raise ValueError(f"{at} is not on a boundary of {rollup.width}")
+        _on_boundary(at, rollup)
     if "p_date" in source.columns:
         rows = between(source, "processed_at", since, until)
     else:
-        rows = source.filter(
-            (F.col("processed_at") >= F.lit(str(since)).cast(_kind(source)))
-            & (F.col("processed_at") < F.lit(str(until)).cast(_kind(source)))
+        rows = source.filter(_within(source, since, until))
+    days = [since.date() + timedelta(days=n) for n in range((until - since).days + 2)]
+    _replace_buckets(rows, rollup, path, days, lambda at: since <= at < until)
+
+
+def refresh_buckets(source: DataFrame, rollup: Rollup, path: str, buckets: Sequence[datetime]) -> None:
+    """``refresh`` of some buckets only; rows of others are not read."""
+    wanted, inside = set(buckets), F.lit(False)
+    for at in sorted(wanted):
+        _on_boundary(at, rollup)
+        inside = inside | _within(source, at, at + rollup.width)
+    if "p_date" in source.columns:
+        inside = inside & (F.unix_date("p_date") * 24 + F.col("p_hour")).isin(
+            sorted({(at - datetime(1970, 1, 1)) // timedelta(hours=1) for at in wanted})
         )
-    fresh = rollup.compute(rows).withColumns(
+    days = sorted({at.date() for at in wanted})
+    _replace_buckets(source.filter(inside), rollup, path, days, wanted.__contains__)
+
+
+def _on_boundary(at: datetime, rollup: Rollup) -> None:
+    if (at - datetime(1970, 1, 1)) % rollup.width:
+        raise ValueError(f"{at} is not on a boundary of {rollup.width}")
+
+
+def _within(source: DataFrame, since: datetime, until: datetime) -> Column:
+    kind = _kind(source)
+    time = F.col("processed_at")
+    return (time >= F.lit(str(since)).cast(kind)) & (time < F.lit(str(until)).cast(kind))
+
+
+def _replace_buckets(
+    rows: DataFrame, rollup: Rollup, path: str, days: Sequence[date], covered: Callable[[datetime], bool]
+) -> None:
+    """Write the buckets of rows, computed once, and drop covered ones that have no rows."""
+    spark = rows.sparkSession
+    fresh = cut_lineage(rollup.compute(rows).withColumns(
         {
             "p_date": F.col(rollup.bucket).cast("date"),
             "p_hour": F.hour(rollup.bucket),
             "p_minute": F.minute(rollup.bucket),
         }
-    )
+    ))
     # At most one row per bucket of the range comes to the driver.
     filled = {tuple(r) for r in fresh.select(*_ROLLUP_PARTITIONS).distinct().collect()}
     replace_partitions(fresh, path, _ROLLUP_PARTITIONS)
-    for values, folder in folders.partitions(spark, path, _ROLLUP_PARTITIONS):
-        at = datetime.combine(
-            date.fromisoformat(values["p_date"]), datetime.min.time()
-        ) + timedelta(hours=int(values["p_hour"]), minutes=int(values["p_minute"]))
-        if since <= at < until and (at.date(), at.hour, at.minute) not in filled:
-            folders.delete(spark, folder)
+    for day in days:
+        for values, folder in folders.partitions(spark, path, _ROLLUP_PARTITIONS, first=day.isoformat()):
+            at = datetime.combine(day, datetime.min.time()) + timedelta(
+                hours=int(values["p_hour"]), minutes=int(values["p_minute"])
+            )
+            if covered(at) and (at.date(), at.hour, at.minute) not in filled:
+                folders.delete(spark, folder)
 
 
 def _kind(source: DataFrame) -> str:
@@ -99,15 +130,21 @@ def compact(
     age: timedelta,
     sort: Sequence[str],
     hourly: bool = True,
+    keys: Sequence[str] = (),
+    newest: Sequence[str] = ("processed_at", "batch_id"),
 ) -> int:
     """Rewrite partitions older than ``age`` as few sorted zstd files; returns how many.
 
-    The rows are staged first, then replace the partition under the batch ``COMPACTED``,
-    and only then the old batch folders go. Readers take one row per key, so a failure
-    in between loses and doubles nothing.
+    With ``keys`` only the newest row of a key stays in its partition. The new folder has a
+    negative batch number, below all it replaces, so later batches still come after it.
+
+    A run may stop anywhere: readers of ``tables`` leave out the new folders until all of
+    them are there, and the old ones from then on, as two small files below the table say
+    (``folders.hidden``). The next run first undoes or completes what the last one left.
     """
     columns = PARTITIONS if hourly else ["p_date", "batch_id"]
-    old: dict[tuple, list[str]] = {}
+    _settle(spark, path)
+    old: dict[tuple, list[tuple[int, str]]] = {}
     for values, folder in folders.partitions(spark, path, columns):
         begin = datetime.combine(date.fromisoformat(values["p_date"]), datetime.min.time())
         begin += timedelta(hours=int(values.get("p_hour", 0)))
@@ -115,29 +152,36 @@ def compact(
         if end <= now - age:
             place = tuple(values[c] for c in columns[:-1])
             old.setdefault(place, []).append((int(values["batch_id"]), folder))
-    due = {p: parts for p, parts in old.items() if [b for b, _ in parts] != [COMPACTED]}
+    due = {p: parts for p, parts in old.items() if len(parts) > 1 or parts[0][0] >= 0}
     if not due:
         return 0
-    staged = scratch_path(spark, "compact")
+    number = min(COMPACTED, *(b - 1 for parts in due.values() for b, _ in parts))
+    replaced = [folder for parts in due.values() for _, folder in parts]
+    made = [f"{parts[0][1].rsplit('/', 1)[0]}/batch_id={number}" for parts in due.values()]
+    folders.write_lines(spark, f"{path}/{folders.MADE}", made)
     types = "p_date date, p_hour int, batch_id bigint" if hourly else "p_date date, batch_id bigint"
-    paths = [folder for parts in due.values() for _, folder in parts]
-    rows = spark.read.option("basePath", path).schema(f"{schema}, {types}").parquet(*paths)
-    kept = rows.withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
-    kept.write.parquet(staged)
+    rows = spark.read.option("basePath", path).schema(f"{schema}, {types}").parquet(*replaced)
+    if keys:
+        rows = current(rows, [*columns[:-1], *keys], newest)
     (
-        spark.read.schema(kept.schema)
-        .parquet(staged)
+        rows.withColumn("batch_id", F.lit(number).cast("bigint"))
         .hint("rebalance", *[F.col(c) for c in columns])
         .sortWithinPartitions(*columns, *sort)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .option("compression", "zstd")
         .partitionBy(*columns)
         .parquet(path)
     )
-    for parts in due.values():
-        for batch, folder in parts:
-            if batch != COMPACTED:
-                folders.delete(spark, folder)
-    folders.delete(spark, staged)
+    folders.write_lines(spark, f"{path}/{folders.REPLACED}", replaced)
+    _settle(spark, path)
     return len(due)
+
+
+def _settle(spark: SparkSession, path: str) -> None:
+    """Complete a compaction whose new folders are all written; undo one that stopped before."""
+    made, replaced = f"{path}/{folders.MADE}", f"{path}/{folders.REPLACED}"
+    gone = folders.read_lines(spark, replaced)
+    for folder in (folders.read_lines(spark, made) or []) if gone is None else gone:
+        folders.delete(spark, folder)
+    folders.delete(spark, made)
+    folders.delete(spark, replaced)

@@ -517,21 +517,21 @@ _HOURLY_TICKS = """SELECT date_trunc('hour', processed_at) AS hour, count(*) AS
   avg(tx_count) AS avg_tx_per_tick, min(tick_number) AS min_tick_number,
   max(tick_number) AS max_tick_number,
   count(CASE WHEN vdf_iterations > 0 THEN 1 END) AS ticks_with_vdf FROM ticks"""
-_HOURLY_TRANSACTIONS = """SELECT date_trunc('hour', processed_at) AS hour, payload_type,
+HOURLY_TRANSACTIONS = """SELECT date_trunc('hour', processed_at) AS hour, payload_type,
   count(*) AS tx_count, avg(payload_size) AS avg_payload_size,
   CAST(sum(payload_size) AS BIGINT) AS total_payload_bytes,
   count(DISTINCT public_key) AS unique_signers, min(tick_number) AS min_tick_number,
   max(tick_number) AS max_tick_number FROM transactions"""
-_TICK_SUMMARY = """SELECT time_bucket(INTERVAL 300 SECOND, processed_at, TIMESTAMP '1970-01-01')
+TICK_SUMMARY = """SELECT time_bucket(INTERVAL 300 SECOND, processed_at, TIMESTAMP '1970-01-01')
     AS bucket, tick_number, count(*) AS tx_count, count(DISTINCT public_key) AS unique_signers,
   avg(payload_size) AS avg_payload_size, CAST(sum(payload_size) AS BIGINT) AS total_payload_bytes
 FROM transactions"""
 _SQUEEZED = f"WITH {a.TRANSACTIONS_SQUEEZED}"
-SQUEEZED_SQL = f"{_SQUEEZED} {_HOURLY_TRANSACTIONS} GROUP BY 1, 2"
+SQUEEZED_SQL = f"{_SQUEEZED} {HOURLY_TRANSACTIONS} GROUP BY 1, 2"
 ROLLUP_SQL = {
     "ticks_hourly": f"{_DENSE} {_HOURLY_TICKS} GROUP BY 1",
-    "transactions_hourly": f"{_DENSE} {_HOURLY_TRANSACTIONS} GROUP BY 1, 2",
-    "tick_tx_summary": f"{_DENSE} {_TICK_SUMMARY} GROUP BY 1, 2",
+    "transactions_hourly": f"{_DENSE} {HOURLY_TRANSACTIONS} GROUP BY 1, 2",
+    "tick_tx_summary": f"{_DENSE} {TICK_SUMMARY} GROUP BY 1, 2",
 }
 
 _register("rollup_ticks_hourly", ROLLUP_SQL["ticks_hourly"])(
@@ -542,7 +542,7 @@ _register("rollup_transactions_hourly", ROLLUP_SQL["transactions_hourly"])(
 )
 _register(
     "rollup_transactions_hourly_live",
-    f"{_DENSE} {_HOURLY_TRANSACTIONS} WHERE version > 0 GROUP BY 1, 2",
+    f"{_DENSE} {HOURLY_TRANSACTIONS} WHERE version > 0 GROUP BY 1, 2",
 )(
     lambda spark, sf_dir: rollups.transactions_hourly(
         a.transactions_dense(spark, sf_dir), live_only=True

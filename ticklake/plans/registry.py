@@ -9,9 +9,10 @@ from ticklake.plans import (
     price_plans,
     quality_plans,
     stream_plans,
+    upkeep_plans,
 )
 
-_MODULES = [candle_plans, chain_plans, quality_plans, price_plans, metric_plans, stream_plans]
+_MODULES = [candle_plans, chain_plans, quality_plans, price_plans, metric_plans, stream_plans, upkeep_plans]
 
 
 def queries() -> dict:

@@ -27,6 +27,7 @@ order. Extra columns are not read.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
@@ -278,6 +279,15 @@ def write(
     placed = spread.sortWithinPartitions(F.col("id").asc_nulls_first(), tie, "text")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The memo is text and bytes, which hold no cycles: looking for some would only
+        # walk through all of it again and again.
+        gc.disable()
+        try:
+            yield from encoded_pieces(batches)
+        finally:
+            gc.enable()
+
+    def encoded_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_each = encoder(tokenizer).encode_each
         end = np.uint32(end_id).astype("<u4").tobytes()
         ids, counts, starts, firsts = [], [], [], []

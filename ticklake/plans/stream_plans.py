@@ -13,7 +13,7 @@ from ticklake.operators import candles, lookup, quality, rollups
 from ticklake.plans import adapters as a
 from ticklake.plans import chain_plans, metric_plans, price_plans, quality_plans
 from ticklake.sinks import tables, upkeep
-from ticklake.streaming import ingest, keyed, live
+from ticklake.streaming import ingest, keyed, live, signers
 
 
 class StreamInput:
@@ -84,6 +84,21 @@ def _live_ticks(spark, sf_dir):
     return rows.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
+def _closed(rollup):
+    """A rollup in ``append`` mode: buckets that closed before the watermark of the end, which
+    is an hour behind the newest row."""
+
+    def query(spark, sf_dir):
+        stored = scratch_path(spark, f"{rollup.name}-rows")
+        a.transactions_squeezed(spark, sf_dir).write.parquet(stored)
+        stream = StreamInput(spark).parquet(stored)
+        closed = _run(signers.closed_buckets(stream, rollup, "1 hour", lanes=2), rollup.name)
+        rows = signers.whole_buckets(closed, rollup)
+        return rows.withColumn(rollup.bucket, F.col(rollup.bucket).cast("timestamp_ntz"))
+
+    return query
+
+
 def _refreshed(rollup, source):
     """A rollup kept by a stream that recomputes the buckets each batch touches."""
 
@@ -198,6 +213,8 @@ QUERIES = {
     "stream_ingested_transactions": _ingested_transactions,
     "stream_ingested_ticks_checked": _ingested_ticks,
     "refreshed_in_steps": _refreshed_in_steps,
+    "stream_transactions_hourly_closed": _closed(rollups.TRANSACTIONS_HOURLY),
+    "stream_tick_summary_closed": _closed(rollups.TICK_TX_SUMMARY),
     "stored_prices_first_wins": _stored_prices,
     "stored_transactions_upsert": _upserted,
 }
@@ -224,6 +241,12 @@ SELECT tick_number, sequence_number, tx_hash, payload_size,
 QUALIFY row_number() OVER (PARTITION BY tick_number, sequence_number
   ORDER BY arrival DESC, tx_hash DESC) = 1""",
     "refreshed_in_steps": chain_plans.SQUEEZED_SQL,
+    "stream_transactions_hourly_closed": f"""WITH {a.TRANSACTIONS_SQUEEZED} {chain_plans.HOURLY_TRANSACTIONS}
+WHERE epoch_ms(date_trunc('hour', processed_at)) + 3600000
+  <= (SELECT epoch_ms(max(processed_at)) FROM transactions) - 3600000 GROUP BY 1, 2""",
+    "stream_tick_summary_closed": f"""WITH {a.TRANSACTIONS_SQUEEZED} {chain_plans.TICK_SUMMARY}
+WHERE epoch_ms(time_bucket(INTERVAL 300 SECOND, processed_at, TIMESTAMP '1970-01-01')) + 300000
+  <= (SELECT epoch_ms(max(processed_at)) FROM transactions) - 3600000 GROUP BY 1, 2""",
     "stored_prices_first_wins": f"""WITH {a.OBSERVED_PRICES}
 SELECT market_id, date_trunc('hour', poll_time) AS ts, arg_min(price, arrival) AS price
 FROM observed GROUP BY 1, 2""",

@@ -216,6 +216,35 @@ walk AS (
 SELECT source_id, tick_number, arrival, old_arrival, conflict_reason FROM walk
 WHERE conflict_reason <> ''"""
 
+# The same with a memory of recent numbers, one copy per source and round. A round holds the
+# remembered (number, arrival) pairs only; what they say is looked up by arrival.
+_WINDOWED = f"""WITH RECURSIVE {a.COPIES},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY arrival) AS rn FROM copies),
+walk AS (
+  SELECT source_id, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(n BIGINT, copy BIGINT)[]) AS seen,
+    CAST(NULL AS BIGINT) AS tick_number, CAST(NULL AS BIGINT) AS arrival,
+    CAST(NULL AS BIGINT) AS old_arrival, '' AS conflict_reason
+  FROM (SELECT DISTINCT source_id FROM copies)
+  UNION ALL
+  SELECT source_id, rn, CASE WHEN reason <> '' THEN seen
+      WHEN len(stored) > 128 THEN list_filter(stored, lambda x: x.n >= greatest(tick_number - 127, 0))
+      ELSE stored END,
+    tick_number, arrival, CASE WHEN reason <> '' THEN old_arrival END, reason
+  FROM (SELECT l.*, list_append(list_filter(l.seen, lambda x: x.n <> l.tick_number),
+      {{'n': l.tick_number, 'copy': l.arrival}}) AS stored,
+      concat_ws(', ', CASE WHEN l.output <> o.output THEN 'VDF output mismatch' END,
+        CASE WHEN l.batch_hash <> o.batch_hash THEN 'transaction batch hash mismatch' END,
+        CASE WHEN l.previous_output <> o.previous_output THEN 'previous output mismatch' END,
+        CASE WHEN l.tx_count <> o.tx_count THEN 'transaction count mismatch ('
+          || o.tx_count || ' vs ' || l.tx_count || ')' END) AS reason
+    FROM (SELECT n.*, w.seen, list_filter(w.seen, lambda x: x.n = n.tick_number)[1]['copy'] AS old_arrival
+      FROM walk w JOIN numbered n ON n.source_id = w.source_id AND n.rn = w.rn + 1) l
+    LEFT JOIN numbered o ON o.source_id = l.source_id AND o.arrival = l.old_arrival))"""
+_WINDOWED_EVENTS = f"""{_WINDOWED}
+SELECT source_id, tick_number, arrival, old_arrival, conflict_reason FROM walk
+WHERE conflict_reason <> ''"""
+
 SQL = {
     "tick_issues": f"{_issues_with()}, {_LISTED.format(source='issues')} SELECT * FROM listed",
     "tick_issues_strict": f"""{_issues_with(strict=True)}, {_LISTED.format(source='issues')}
@@ -250,4 +279,8 @@ SELECT tick_number, tick_number > 0 AND timestamp_us > 0 AND tick_number % 9 <>
 SELECT tick_number, sequence_number, tx_hash, tick_number > 0 AND nonce % 5 <> 0 AS valid
 FROM transactions""",
     "reorg_events": _REORG,
+    "reorg_events_windowed": _WINDOWED_EVENTS,
+    "reorg_stats": f"""{_WINDOWED}
+SELECT source_id, 128 AS window_size, CAST(arg_max(len(seen), rn) AS INTEGER) AS current_window,
+  count(*) FILTER (conflict_reason <> '') AS conflicts_found FROM walk GROUP BY source_id""",
 }

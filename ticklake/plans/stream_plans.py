@@ -227,6 +227,7 @@ FROM market_prices GROUP BY 1, 2"""
 
 SQL = {
     "stream_sequence_state": quality_plans.SQL["sequence_state_exact"],
+    "stream_reorg_events": quality_plans.SQL["reorg_events_windowed"],
     "stream_prices_thinned": price_plans.SQL["prices_thinned"],
     "stream_rate_limited": metric_plans.SQL["rate_limited"],
     "stream_live_candles": _ALL_CANDLES,

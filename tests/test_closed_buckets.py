@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticklake import schemas
 from ticklake.functions.session import scratch_path
 from ticklake.operators import rollups
-from ticklake.streaming import signers
+from ticklake.streaming import closing, signers
 
 DAY = datetime(2024, 1, 1)
 
@@ -67,3 +67,36 @@ def test_lanes_add_up(spark):
     row = signers.whole_buckets(closed, rollups.TICK_TX_SUMMARY).select(F.unix_micros("bucket"), "*").first()
     assert (row[0], row.tick_number, row.tx_count, row.unique_signers, row.total_payload_bytes) == (0, 7, 12, 6, 30)
     assert row.avg_payload_size == 5.0
+
+
+@pytest.mark.parametrize("fill", ["locf", "null"])
+def test_candles_over_a_restart(spark, fill):
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "cp"))
+    kinds = "market_id string, ts timestamp, price decimal(18,8)"
+
+    def run(rows):
+        table = spark.createDataFrame([(m, DAY + timedelta(seconds=s), str(p)) for m, s, p in rows], "m string, ts timestamp, p string")
+        table.selectExpr("m AS market_id", "ts", "cast(p AS decimal(18,8)) AS price").coalesce(1).write.mode("append").parquet(source)
+        closed = closing.closed_candles(spark.readStream.schema(kinds).parquet(source), "1m", "2 minutes", fill)
+        closed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        found = spark.read.schema(closed.schema).parquet(out).collect()
+        return sorted(
+            ((r.market_id, int((r.t - DAY).total_seconds()), r.o, r.h, r.l, r.c) for r in found), key=str
+        )
+
+    first = [("m", 5, 2), ("m", 50, 1), ("m", 30, 3), ("m", 200, 4), ("n", 130, 9), ("m", 600, 5)]
+    # watermark 480 s: buckets up to 420 s are closed
+    gap = (lambda c: (c,) * 4) if fill == "locf" else (lambda c: (None,) * 4)
+    wanted = [("m", 0, 2.0, 3.0, 1.0, 1.0), ("m", 180, 4.0, 4.0, 4.0, 4.0), ("n", 120, 9.0, 9.0, 9.0, 9.0)]
+    wanted += [("m", t, *gap(1.0)) for t in (60, 120)] + [("m", t, *gap(4.0)) for t in range(240, 480, 60)]
+    wanted += [("n", t, *gap(9.0)) for t in range(180, 480, 60)]
+    assert run(first) == sorted(wanted, key=str)
+    # one price is late; a silent market goes on; the open candle of 600 s gets another price
+    second = [("m", 100, 77), ("m", 610, 6), ("n", 900, 1)]
+    wanted += [("m", t, *gap(4.0)) for t in (480, 540)] + [("m", 600, 5.0, 6.0, 5.0, 6.0)]
+    wanted += [("m", t, *gap(6.0)) for t in (660, 720)] + [("n", t, *gap(9.0)) for t in range(480, 780, 60)]
+    assert run(second) == sorted(wanted, key=str)
+    with pytest.raises(ValueError):
+        closing.closed_candles(spark.readStream.schema(kinds).parquet(source), fill="zero")

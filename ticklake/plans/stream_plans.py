@@ -13,7 +13,7 @@ from ticklake.operators import candles, lookup, quality, rollups
 from ticklake.plans import adapters as a
 from ticklake.plans import chain_plans, metric_plans, price_plans, quality_plans
 from ticklake.sinks import tables, upkeep
-from ticklake.streaming import ingest, keyed, live, signers
+from ticklake.streaming import closing, ingest, keyed, live, signers
 
 
 class StreamInput:
@@ -75,6 +75,17 @@ def _live_candles(spark, sf_dir):
     return rows.withColumn("t", F.col("t").cast("timestamp_ntz"))
 
 
+def _closed_candles(fill):
+    """Candles that closed a day before the newest price, without gaps."""
+
+    def query(spark, sf_dir):
+        prices = a.market_prices(StreamInput(spark), sf_dir)
+        rows = _run(closing.closed_candles(prices, "15m", "1 day", fill), "closed")
+        return rows.withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+    return query
+
+
 def _live_ticks(spark, sf_dir):
     """Per-minute ticks are stored first; their stream feeds the rollup."""
     stored = scratch_path(spark, "ticks")
@@ -213,6 +224,8 @@ QUERIES = {
     "stream_ingested_transactions": _ingested_transactions,
     "stream_ingested_ticks_checked": _ingested_ticks,
     "refreshed_in_steps": _refreshed_in_steps,
+    "stream_candles_closed": _closed_candles("locf"),
+    "stream_candles_closed_gaps": _closed_candles("null"),
     "stream_transactions_hourly_closed": _closed(rollups.TRANSACTIONS_HOURLY),
     "stream_tick_summary_closed": _closed(rollups.TICK_TX_SUMMARY),
     "stored_prices_first_wins": _stored_prices,
@@ -225,7 +238,23 @@ SELECT market_id, time_bucket(INTERVAL 900 SECOND, ts, TIMESTAMP '1970-01-01') A
   CAST(min(price) AS DOUBLE) AS l, CAST(arg_max(price, ts) AS DOUBLE) AS c
 FROM market_prices GROUP BY 1, 2"""
 
+_CLOSED_CANDLES = f"""WITH {a.MARKET_PRICES}, found AS ({_ALL_CANDLES.split(chr(10), 1)[1]}),
+spans AS (
+  SELECT market_id, min(t) AS first, time_bucket(INTERVAL 900 SECOND,
+    (SELECT max(ts) FROM market_prices) - INTERVAL 1 DAY, TIMESTAMP '1970-01-01')
+    - INTERVAL 900 SECOND AS last FROM found GROUP BY market_id),
+filled AS (
+  SELECT g.market_id, g.t, f.o, f.h, f.l, f.c FROM (
+    SELECT market_id, unnest(generate_series(first, last, INTERVAL 900 SECOND)) AS t FROM spans) g
+  LEFT JOIN found f ON f.market_id = g.market_id AND f.t = g.t)"""
+
 SQL = {
+    "stream_candles_closed": f"""{_CLOSED_CANDLES}, carried AS (
+  SELECT *, last_value(c IGNORE NULLS) OVER (PARTITION BY market_id ORDER BY t
+    ROWS UNBOUNDED PRECEDING) AS seen FROM filled)
+SELECT market_id, t, coalesce(o, seen) AS o, coalesce(h, seen) AS h, coalesce(l, seen) AS l,
+  coalesce(c, seen) AS c FROM carried""",
+    "stream_candles_closed_gaps": f"{_CLOSED_CANDLES} SELECT * FROM filled",
     "stream_sequence_state": quality_plans.SQL["sequence_state_exact"],
     "stream_reorg_events": quality_plans.SQL["reorg_events_windowed"],
     "stream_prices_thinned": price_plans.SQL["prices_thinned"],

@@ -232,13 +232,13 @@ QUERIES = {
     "stored_transactions_upsert": _upserted,
 }
 
-_ALL_CANDLES = f"""WITH {a.MARKET_PRICES}
-SELECT market_id, time_bucket(INTERVAL 900 SECOND, ts, TIMESTAMP '1970-01-01') AS t,
+_CANDLES = """SELECT market_id, time_bucket(INTERVAL 900 SECOND, ts, TIMESTAMP '1970-01-01') AS t,
   CAST(arg_min(price, ts) AS DOUBLE) AS o, CAST(max(price) AS DOUBLE) AS h,
   CAST(min(price) AS DOUBLE) AS l, CAST(arg_max(price, ts) AS DOUBLE) AS c
 FROM market_prices GROUP BY 1, 2"""
+_ALL_CANDLES = f"WITH {a.MARKET_PRICES} {_CANDLES}"
 
-_CLOSED_CANDLES = f"""WITH {a.MARKET_PRICES}, found AS ({_ALL_CANDLES.split(chr(10), 1)[1]}),
+_CLOSED_CANDLES = f"""WITH {a.MARKET_PRICES}, found AS ({_CANDLES}),
 spans AS (
   SELECT market_id, min(t) AS first, time_bucket(INTERVAL 900 SECOND,
     (SELECT max(ts) FROM market_prices) - INTERVAL 1 DAY, TIMESTAMP '1970-01-01')

@@ -131,3 +131,18 @@ def test_no_copy_that_the_checks_accept_is_lost(spark, by_answers):
     for r in got:
         item, doc = plain_words(" ".join(items[r["item_id"]])), plain_words(docs[r["doc_id"]])
         assert lcs(item, doc) >= round(r["lcs_share"] * len(item)) >= 0.6 * len(item)
+
+
+def test_rarest_words_do_not_depend_on_the_block():
+    """Codes follow the block's order; equally rare words are chosen by the word."""
+    words = [b"delta", b"alpha", b"echo", b"bravo", b"the", b"charlie"]
+    chosen = []
+    for order in (words, words[::-1], sorted(words)):
+        code = {word: at for at, word in enumerate(order, 1)}
+        names = {at: word for word, at in code.items()}
+        idf = np.zeros(len(code) + 1)
+        idf[1:] = 2.0
+        idf[code[b"the"]] = 0.1
+        picked = dec._rarest(np.array([code[w] for w in words], dtype=np.int32), idf, names)
+        chosen.append({names[c] for c in picked.tolist()})
+    assert chosen == [{b"alpha", b"bravo"}] * 3

@@ -401,8 +401,9 @@ def _search(rows: DataFrame, kind: str, items: Items, item_kind: str, limits: tu
     idf = np.log((1 + documents) / (1 + counts)) + 0.01
     idf[0] = 0
     latent = _latent(coded, items, idf, documents)
+    names = {code: word for word, code in items.codes.items()}
     rare = [
-        a if len(a) else _rarest(w, idf) for w, a in zip(items.words, items.answers)
+        a if len(a) else _rarest(w, idf, names) for w, a in zip(items.words, items.answers)
     ]
     weights = (latent * idf[:, None] ** 2).astype(np.float32)  # folded in, rare words first
     searcher = context.broadcast(Searcher(items, weights, rare, counts, *limits))
@@ -424,7 +425,8 @@ def _search(rows: DataFrame, kind: str, items: Items, item_kind: str, limits: tu
     return coded.mapInArrow(search, schema)
 
 
-def _rarest(words: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    distinct = np.unique(words)
-    order = np.argsort(-idf[distinct], kind="stable")
-    return distinct[order[: max(1, -(-len(distinct) // 3))]]
+def _rarest(words: np.ndarray, idf: np.ndarray, names: dict[int, bytes]) -> np.ndarray:
+    """The rarest third of the distinct words; of equally rare ones the words decide, so that
+    other items of the block do not."""
+    distinct = sorted(set(words.tolist()), key=lambda c: (-idf[c], names.get(c, b"")))
+    return np.array(distinct[: max(1, -(-len(distinct) // 3))], dtype=words.dtype)

@@ -67,6 +67,26 @@ def test_planted_passages_are_found(spark):
     assert all(r["p"] for r in held if r["toxic"])
 
 
+def test_calibration_on_clean_random_text(spark):
+    """Of clean texts that no half has seen, about 1 - 1/e have a best segment above the
+    threshold, as the extreme-value law has it; each half gives a calibrated model."""
+    rows = made(spark)
+    model = tox.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert len(model.models) == 2
+    rng, buckets = random.Random(9), tox.Buckets()
+    words = sorted({w for r in rows.filter("toxic = 0").select("text").collect() for w in r.text.split()})
+    texts = [" ".join(rng.choices(words, k=rng.randrange(30, 200))) for _ in range(300)]
+    for half in model.models:
+        above = [bool(half.passages(buckets.of(t))) for t in texts]
+        assert 0.3 < np.mean(above) < 0.9
+    codes = buckets.of(texts[0] + " vile scorn filth vile scorn filth " + texts[1])
+    found = model.passages(codes)
+    assert found == sorted(found) and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    both = model.probability(np.array([model.evidence(codes)]))
+    each = [m.probability(np.array([m.evidence(codes)])) for m in model.models]
+    assert np.allclose(both, np.mean(each, axis=0))
+
+
 def test_degenerate_labels_and_rows(spark):
     rows = made(spark)
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "vile " * 50_000, 1), (3, "vile", 1), (3, "vile", 1)], "doc_id long, text string, score int")

@@ -12,10 +12,10 @@
    whose normalised score ``lambda * S - ln(K n)`` is positive are significant, and a
    document's evidence is the sum over them.
 4. A logistic curve over the evidence, the best segment and the length gives the
-   probability. It is fitted on the other half of the sample than the token counts behind
-   it, with the classes weighted by how frequent they are among all labels; its loss also
-   chooses among the values of ``SURE``. The final token
-   scores are those of both halves.
+   probability. K and the curve are fitted on the other half of the sample than the token
+   counts behind them, with the classes weighted by how frequent they are among all labels;
+   the loss also chooses among the values of ``SURE``. This is done with the halves in both
+   roles, and a document's probability is the mean of the two (``Crossed``).
 
 Bounds: at most about ``FIT_DOCS`` labelled documents of each class are read to learn; their
 labels, a few hundred kB, are broadcast. The model is one number per bucket.
@@ -137,6 +137,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(_design(features) @ self.curve, -35, 35)))
 
 
+class Crossed:
+    """Models of both halves, each calibrated on the half that it has not learned from."""
+
+    def __init__(self, models: list[Model]):
+        self.models = models
+
+    def evidence(self, codes: np.ndarray) -> tuple[float, ...]:
+        return tuple(value for model in self.models for value in model.evidence(codes))
+
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        """The mean of the models' probabilities."""
+        parts = features.reshape(len(features), len(self.models), 3)
+        return sum(model.probability(parts[:, at]) for at, model in enumerate(self.models)) / len(self.models)
+
+    def passages(self, codes: np.ndarray) -> list[tuple[int, int, float]]:
+        """Passages that are significant under a model; of overlapping ones the best."""
+        found: list[tuple[int, int, float]] = []
+        for passage in sorted((p for m in self.models for p in m.passages(codes)), key=lambda p: -p[2]):
+            if all(passage[1] < first or passage[0] > last for first, last, _ in found):
+                found.append(passage)
+        return sorted(found)
+
+
 def _design(features: np.ndarray) -> np.ndarray:
     total, best, length = features.reshape(-1, 3).T
     return np.column_stack([np.ones(len(total)), np.log1p(total), best, np.sqrt(best), length])
@@ -176,7 +199,7 @@ def logistic(design: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> np.
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", fit_docs: int = FIT_DOCS,
-) -> Model:
+) -> Model | Crossed:
     """Learn from a bounded sample of each class: the labelled ids of smallest hash."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter(
         "id IS NOT NULL AND toxic IS NOT NULL"
@@ -200,8 +223,20 @@ def fit(
     counts = np.zeros((2, 2, BUCKETS))  # half, class, bucket
     for row in _counted(sample).collect():
         counts[row["half"], :, row["bucket"]] = row["other"], row["toxic"]
-    models = [Model(log_odds(counts[0, 1], counts[0, 0], sure), rate, decay_of(log_odds(counts[0, 1], counts[0, 0], sure), counts[0, 0])) for sure in SURE]
-    calibrating = sample.filter("half = 1")
+    # bounded by the sample; each half is calibrated on the other one
+    found = [_calibrated(sample, counts[half], 1 - half, rate) for half in (0, 1)]
+    known = [model for model in found if model is not None]
+    return Crossed(known) if known else Model(np.zeros(BUCKETS), rate)
+
+
+def _calibrated(sample: DataFrame, counts: np.ndarray, other_half: int, rate: float) -> Model | None:
+    """Scores from the counts of one half, with K, the curve and the shrinkage from the
+    other half; None if that has one class alone."""
+    models = []
+    for sure in SURE:
+        scores = log_odds(counts[1], counts[0], sure)
+        models.append(Model(scores, rate, decay_of(scores, counts[0])))
+    calibrating = sample.filter(F.col("half") == other_half)
     best = _each(calibrating, models, _best_segment)
     for place, model in enumerate(models):
         tokens, score = best[:, 1 + 2 * place], best[:, 2 + 2 * place]
@@ -212,7 +247,7 @@ def fit(
     rows = _each(calibrating, models, Model.evidence)
     toxic = rows[:, 0] > 0
     if toxic.all() or not toxic.any():
-        return Model(np.zeros(BUCKETS), rate)
+        return None
     weights = np.where(toxic, rate / toxic.mean(), (1 - rate) / (1 - toxic.mean()))
     losses = []
     for place, model in enumerate(models):
@@ -220,12 +255,7 @@ def fit(
         model.curve = logistic(_design(features), toxic.astype(float), weights)
         p = np.clip(model.probability(features), 1e-9, 1 - 1e-9)
         losses.append(-(weights * np.log(np.where(toxic, p, 1 - p))).sum())
-    chosen = int(np.argmin(losses))
-    model = models[chosen]
-    other, toxic_counts = counts.sum(axis=0)  # the calibrated curve goes with the scores of both halves
-    model.scores = log_odds(toxic_counts, other, SURE[chosen])
-    model.decay = decay_of(model.scores, other)
-    return model
+    return models[int(np.argmin(losses))]
 
 
 def _best_segment(model: Model, codes: np.ndarray) -> tuple[int, float]:
@@ -270,7 +300,7 @@ def _each(sample: DataFrame, models: list[Model], values) -> np.ndarray:
     return np.array(got, dtype=float) if got else np.zeros((0, 1 + 3 * len(models)))
 
 
-def share(docs: DataFrame, model: Model) -> Broadcast:
+def share(docs: DataFrame, model: Model | Crossed) -> Broadcast:
     return docs.sparkSession.sparkContext.broadcast(model)
 
 
@@ -281,7 +311,10 @@ def score(model: Broadcast, text: Column) -> Column:
     def score_of(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         buckets, learned = Buckets(), model.value
         for texts in series:
-            features = np.array([learned.evidence(buckets.of(t)) for t in texts], dtype=float).reshape(-1, 3)
+            if not len(texts):
+                yield pd.Series([], dtype=float)
+                continue
+            features = np.array([learned.evidence(buckets.of(t)) for t in texts], dtype=float).reshape(len(texts), -1)
             yield pd.Series(learned.probability(features))
 
     return score_of(text.cast("string"))

@@ -37,11 +37,13 @@ def _utc(at: datetime) -> Column:
 
 
 def batch_time(spark: SparkSession, root: str, batch_id: int, clock: Clock = utc_now) -> datetime:
-    """The time a batch was first processed; the same when it is processed again."""
+    """The time a batch was first processed; the same when it is processed again. Times of
+    batches that cannot come again are dropped."""
     path = f"{root}/clock/batch_id={batch_id}"
     if not folders.exists(spark, f"{path}/_SUCCESS"):
         row = spark.createDataFrame([(clock().isoformat(),)], "at string")
         row.coalesce(1).write.mode("overwrite").parquet(path)
+        _prune(spark, f"{root}/clock", batch_id)
     return datetime.fromisoformat(spark.read.schema("at string").parquet(path).first()["at"])
 
 
@@ -61,8 +63,12 @@ def _load_state(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
 
 
 def _save_state(states: DataFrame, path: str, batch_id: int) -> None:
-    spark = states.sparkSession
     states.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    _prune(states.sparkSession, path, batch_id)
+
+
+def _prune(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Drop what batches long before this one left; only the newest batch can come again."""
     for values, folder in folders.partitions(spark, path, ["batch_id"]):
         if int(values["batch_id"]) <= batch_id - KEPT_STATES:
             folders.delete(spark, folder)
@@ -175,19 +181,21 @@ def ingest_batch(
     at = batch_time(spark, root, batch_id, clock)
     # Read once for the several writes of the batch.
     accepted, held = ticks, []
-    if not validate:
-        held = [ticks.persist()]
-    else:
-        accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
-        _write_batch(quarantined, f"{root}/quarantine", batch_id)
-        found = events.withColumn("at", _utc(at))
-        _write_batch(found, f"{root}/invalidations", batch_id)
-    if write is not None:
-        write(accepted, batch_id)
-    else:
-        store_batch(accepted, root, batch_id, at)
-    for frame in held:
-        frame.unpersist()
+    try:
+        if not validate:
+            held = [ticks.persist()]
+        else:
+            accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
+            _write_batch(quarantined, f"{root}/quarantine", batch_id)
+            found = events.withColumn("at", _utc(at))
+            _write_batch(found, f"{root}/invalidations", batch_id)
+        if write is not None:
+            write(accepted, batch_id)
+        else:
+            store_batch(accepted, root, batch_id, at)
+    finally:
+        for frame in held:
+            frame.unpersist()
 
 
 def ingest(

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-MEMO = 180_000
+MEMO = 120_000
 PART = 1 << 20  # characters whose words are held at a time
 LONG = 48  # symbols from which a fragment is merged with a heap
 NONE = np.iinfo(np.int32).max

@@ -1,4 +1,4 @@
-"""Phrases equal a plain parse; held-out accuracy; rows without letters."""
+"""Phrases equal a plain parse; held-out accuracy; many letters; rows without letters."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticklake.llm import language_id as li
 
 
-def plain_phrases(sample: str, text: str) -> int:
+def plain_phrases(sample: bytes, text: bytes) -> int:
     count, at = 0, 0
     while at < len(text):
         size = 0
@@ -21,25 +21,43 @@ def plain_phrases(sample: str, text: str) -> int:
     return count
 
 
+def learned(*samples: str) -> li.Model:
+    model = li.Model()
+    for place, sample in enumerate(samples):
+        model.learn(f"l{place}", li.symbols(sample)[0])
+    return model
+
+
+def test_symbols():
+    assert li.symbols("  The 2 CATS!")[0].tobytes() == b" the cats "
+    assert li.symbols("Ü日🙂𐐀")[0].tobytes().decode() == "ü日 𐐨"
+    assert [li.symbols(t)[1] for t in ("", "12", "́", "a", "𐐀")] == [False, False, False, True, True]
+
+
 def test_phrases_like_plain_parsing():
+    """Also over many pieces, and where a parse never meets one that began elsewhere."""
     rng = random.Random(3)
-    letters = "abcde"
-    codes = li.code_table(letters)
-    samples = ["".join(rng.choices("abcd ", k=400)), "".join(rng.choices("cde", k=300))]
-    model = li.Model(letters, ["x", "y"], [], [], [])
-    for sample in samples:
-        states, *edges = li.suffix_automaton(li.symbols(sample, codes).tolist())
-        model.sizes.append(len(sample))
-        model.states.append(states)
-        model.edges.append(tuple(edges))
-    parser = li.Parser(model)
-    texts = ["".join(rng.choices("abcdez ", k=rng.randrange(1, 300))) for _ in range(40)] + ["", "a", "é"]
-    sequences = [li.symbols(t, codes) for t in texts]
-    got = parser.phrases(sequences)
-    as_text = lambda s: "".join(map(chr, s + 65))
+    samples = ["".join(rng.choices("abcd ", k=3000)), "".join(rng.choices("cdeü日", k=900)), "ab" * 3000]
+    model = learned(*samples)
+    texts = ["".join(rng.choices("abcdez ü", k=rng.randrange(1, 300))) for _ in range(40)] + ["", "a", "é"]
+    texts += ["".join(rng.choices("abcdeü日", k=5000)), samples[0] * 2, samples[1] * 7, "ab" * 2500, "x" + "ba" * 2600, "z" * 5000]
+    sequences = [li.symbols(t)[0] for t in texts]
+    got = li.phrases(model, sequences)
     for row, sample in zip(got, samples):
-        plain = [plain_phrases(as_text(li.symbols(sample, codes)), as_text(s)) for s in sequences]
-        assert row.tolist() == plain
+        text = li.symbols(sample)[0].tobytes()
+        assert row.tolist() == [plain_phrases(text, s.tobytes()) for s in sequences]
+
+
+def test_every_edge_has_its_own_slot():
+    rng = random.Random(5)
+    sequence = rng.choices(range(256), k=4000) + rng.choices(range(6), k=4000)
+    states, start, symbol, end = li.suffix_automaton(sequence)
+    base, owner, target = li.interleaved(states, start, symbol, end)
+    edges = set(zip(start.tolist(), symbol.tolist(), end.tolist()))
+    slots = base[:, None] + np.arange(256)
+    found = owner[slots] == np.arange(states)[:, None]
+    assert {(int(a), int(c), int(target[slots[a, c]])) for a, c in np.argwhere(found)} == edges
+    assert len(owner) < 2 * len(edges) + 1024
 
 
 def test_held_out_accuracy(spark):
@@ -50,6 +68,20 @@ def test_held_out_accuracy(spark):
     assert right >= 0.98
 
 
+def test_languages_of_many_letters(spark):
+    """Two languages of 1,500 letters each, of which texts of one write the same first half."""
+    rng = random.Random(7)
+    shared = [chr(0x4E00 + i) for i in range(1000)]
+    own = {"p": [chr(0x5500 + i) for i in range(500)], "q": [chr(0x6000 + i) for i in range(500)]}
+    words = {lang: ["".join(rng.choices(shared + letters, k=2)) for _ in range(400)] for lang, letters in own.items()}
+    words["en"] = "the of and to in that was his with for".split()
+    rows = [(i, " ".join(rng.choices(words[lang], k=40)), lang) for i, lang in enumerate(list(words) * 150)]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = [(lang, " ".join(rng.choices(words[lang], k=5))) for lang in words for _ in range(100)]
+    got = li.predict(model, [text for _, text in tests])["lang_pred"]
+    assert np.mean([a == lang for a, (lang, _) in zip(got, tests)]) >= 0.98
+
+
 def test_odd_rows(spark):
     learn = spark.createDataFrame(
         [(i, w * 40, l) for i in range(6) for w, l in (("der hund und die katze ", "de"), ("the dog and the cat ", "en"))]
@@ -68,18 +100,12 @@ def test_odd_rows(spark):
     assert {r["lang_pred"] for r in li.identify(docs, nothing).collect()} == {"und"}
 
 
-def test_sample_is_bounded(spark):
+def test_sample_is_bounded_and_of_whole_texts(spark):
+    schema = "doc_id long, text string, lang string"
     learn = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.lit("en").alias("lang"))
-    model = li.fit(learn, sample_docs=20)
-    assert model.sizes[0] <= 20 * (len("some words") + 1) + 1
-    assert np.isfinite(model.sizes[0])
-
-
-def test_all_sampled_documents_are_learned_from(spark):
-    """Each document has a letter of its own, on its later half; long ones do not crowd out others."""
-    letters = [chr(0x4E00 + i) for i in range(100)]
-    rows = [(i, "the same beginning " * 150 + (c + " ") * 6000, "en") for i, c in enumerate(letters)]
-    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=100, automaton_chars=6000)
-    learned = {model.letters[s - li.LETTERS] for s in set(model.edges[0][1].tolist()) if s >= li.LETTERS}
-    assert len(learned & set(letters)) >= 60 and model.sizes == [6000]
-    assert li.evenly([5, 100, 1, 50], 60) == [5, 27, 1, 27] and li.evenly([2, 3], 60) == [2, 3]
+    whole = len(" some words")
+    assert li.fit(learn, sample_docs=20).sizes == [20 * whole]
+    assert li.fit(learn, sample_bytes=35).sizes == [3 * whole]
+    long = spark.createDataFrame([(1, "a" * 500, "en"), (2, "b" * 300, "en"), (3, "c" * 400, "en")], schema)
+    assert li.fit(long, document_bytes=100).sizes == [301]
+    assert li.fit(long.union(learn.limit(1)), document_bytes=100).sizes == [whole]

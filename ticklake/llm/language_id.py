@@ -1,19 +1,23 @@
 """Language identification by cross-parsing entropy over suffix automata.
 
 For every language a suffix automaton of labelled text is built. A text is parsed from
-left to right into the longest phrases that occur in that text (a letter found nowhere is
+left to right into the longest phrases that occur in that text (a symbol found nowhere is
 a phrase of its own). ``phrases * log2(size of the labelled text)`` estimates the bits the
 text costs under the language; the cheapest language wins, and the score is its share
 among all languages when a bit halves the odds.
 
-Letters are lower-cased, runs of other characters count as one break. The whole text is
-parsed, in windows of ``WINDOW`` symbols that each begin a new phrase; a batch of windows
-walks all automata at once in numpy, so no step is taken per letter in Python.
+Letters and the marks on them are lower-cased, runs of other characters count as one
+break. Symbols are the bytes of UTF-8, so an automaton has at most 256 of them while every
+letter of every script stays itself. The whole text is one parse: pieces of a batch's texts
+walk all automata side by side in numpy, and a piece is walked again for as long as the
+state that the piece before it ends in is not the one it began with. Nearly always that
+is once, since parses that differ at first soon meet.
 
-Bounds: at most ``sample_docs`` labelled documents per language, each with at most
-``sample_chars`` characters from a hashed place on, are gathered, and the automaton is
-built over at most ``automaton_chars`` symbols, shared evenly by all of them. The compact automata (a few edges per symbol) are
-broadcast, and each Python worker expands them once.
+Bounds: at most ``sample_docs`` labelled documents per language are learned from, each as
+a whole, taken in hashed order while they fit into ``sample_bytes``; documents longer than
+``document_bytes`` are not in the sample. A language that has only such ones is learned
+from the shortest. The automata, a few bytes per edge, are broadcast in the form that is walked; they
+grow with the number of languages, by some megabytes each.
 
 Defined results: null or letterless text is ``und`` with score 0, as is every text when
 nothing was learned; ties go to the first language in alphabetical order; rows are
@@ -23,8 +27,10 @@ prediction reads the text alone.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -35,44 +41,64 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import crc32_of
 
 UNDETERMINED = "und"
-WINDOW = 1024
+PIECE = 1024
 LANES = 4096
-OTHER, BREAK, LETTERS = 0, 1, 2  # symbols: unknown letter, run of non-letters, first letter
-ALPHABET = 254
+WIDE = 256  # symbols
+BREAK, MARK, LETTER = 0, 1, 2  # kinds of characters
 SPREAD = 1 << 40
 
 
 @dataclass
 class Model:
-    """Letters of the alphabet, and per language the automaton's edges and text size."""
+    """Automata of all languages as one table of edges.
 
-    letters: str
-    languages: list[str]
-    sizes: list[int]
-    states: list[int]
-    edges: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # from, symbol, to
+    The edge of state ``s`` by symbol ``c`` lies in slot ``base[s] + c`` if ``owner`` there
+    is ``s``; rows of states interleave. ``first`` has the state that a new phrase begins with.
+    """
+
+    languages: list[str] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
+    roots: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    first: np.ndarray = field(default_factory=lambda: np.zeros((0, WIDE), np.int32))
+    base: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    owner: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    target: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+
+    def learn(self, language: str, sequence: np.ndarray) -> None:
+        states, start, symbol, end = suffix_automaton(sequence.tolist())
+        base, owner, target = interleaved(states, start, symbol, end)
+        root, slot = len(self.base), len(self.owner)
+        first = np.full(WIDE, root, dtype=np.int32)
+        first[symbol[start == 0]] = root + end[start == 0]
+        self.languages.append(language)
+        self.sizes.append(len(sequence))
+        self.roots = np.append(self.roots, np.int32(root))
+        self.first = np.vstack([self.first, first])
+        self.base = np.append(self.base, base + np.int32(slot))
+        self.owner = np.append(self.owner, np.where(owner < 0, -1, owner + root).astype(np.int32))
+        self.target = np.append(self.target, target + np.int32(root))
+
+
+@cache
+def character_kinds() -> np.ndarray:
+    """Kind of each code point."""
+    of = {"L": LETTER, "M": MARK}
+    return np.fromiter(
+        (of.get(unicodedata.category(chr(point))[0], BREAK) for point in range(0x110000)), np.uint8, 0x110000
+    )
 
 
-def symbols(text: str, codes: np.ndarray) -> np.ndarray:
-    """The text as symbols, with runs of breaks collapsed."""
+def symbols(text: str) -> tuple[np.ndarray, bool]:
+    """The text as bytes with runs of breaks collapsed to a space, and whether it has a letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le"), dtype="<u4")
-    found = codes[np.minimum(points, len(codes) - 1)]
-    keep = found != BREAK
-    keep[1:] |= found[:-1] != BREAK
+    kinds = character_kinds()[points]
+    keep = kinds != BREAK
+    lettered = bool((kinds == LETTER).any())
+    inside = keep.copy()
+    keep[1:] |= inside[:-1]
     keep[:1] = True
-    return found[keep]
-
-
-def code_table(letters: str) -> np.ndarray:
-    """Symbol of each code point; the last entry stands for all above 0xFFFF."""
-    table = np.full(0x10001, BREAK, dtype=np.uint8)
-    for point in range(0x10000):
-        if chr(point).isalpha():
-            table[point] = OTHER
-    table[0x10000] = OTHER
-    for place, letter in enumerate(letters):
-        table[ord(letter)] = LETTERS + place
-    return table
+    shown = np.where(inside, points, ord(" "))[keep].astype("<u4")
+    return np.frombuffer(shown.tobytes().decode("utf-32-le").encode(), dtype=np.uint8), lettered
 
 
 def suffix_automaton(sequence: list[int]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,23 +133,64 @@ def suffix_automaton(sequence: list[int]) -> tuple[int, np.ndarray, np.ndarray,
     return len(moves), columns[:, 0].copy(), columns[:, 1].astype(np.uint8), columns[:, 2].copy()
 
 
+def interleaved(
+    states: int, start: np.ndarray, symbol: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges, ordered by their start, in slots: base of each state, owner and target of each slot.
+
+    States of most edges are placed first, at the first base whose slots are free; those
+    of one edge, the bulk, fill what is left.
+    """
+    counts = np.bincount(start, minlength=states)
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    room = len(start) + 2 * WIDE
+    free = np.ones(2 * room + 4 * PIECE, dtype=bool)
+    free[:WIDE] = False  # a base is not negative
+    base = np.zeros(states, dtype=np.int32)
+    several = np.flatnonzero(counts > 1)
+    low, size = 0, 0
+    for state in several[np.argsort(-counts[several], kind="stable")].tolist():
+        row = symbol[begins[state] : begins[state + 1]].astype(np.int64)
+        if counts[state] != size:
+            low, size = 0, counts[state]
+        while True:
+            if low + PIECE + WIDE > len(free):
+                free = np.append(free, np.ones(len(free), dtype=bool))
+            fits = free[low + row[0] : low + row[0] + PIECE].copy()
+            for at in row[1:]:
+                fits &= free[low + at : low + at + PIECE]
+            found = int(fits.argmax())
+            if fits[found]:
+                break
+            low += PIECE
+        base[state] = low + found
+        free[low + found + row] = False
+    single = np.flatnonzero(counts == 1)
+    free = np.append(free, np.ones(len(single), dtype=bool))
+    base[single] = np.flatnonzero(free)[: len(single)] - symbol[begins[single]]
+    slots = base[start] + symbol.astype(np.int32)
+    last = max(int(base.max(initial=0)), int(slots.max(initial=0)))
+    owner = np.full(last + WIDE, -1, dtype=np.int32)
+    target = np.zeros(last + WIDE, dtype=np.int32)
+    owner[slots] = start
+    target[slots] = end
+    return base, owner, target
+
+
 def fit(
     labelled: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = 300,
-    sample_chars: int = 2000,
-    automaton_chars: int = 60_000,
+    document_bytes: int = 20_000,
+    sample_bytes: int = 120_000,
 ) -> Model:
     """Learn from a bounded sample: per language the documents of smallest hashed id.
 
     Documents per language are counted first, and only a share of the hashed ids that
     holds about twice the sample is read in full, so what is sorted does not grow.
     """
-    order = Window.partitionBy("lang").orderBy(
-        F.xxhash64(F.col("id").cast("string")), "id", F.xxhash64("text"), "text"
-    )
     spread = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)), F.lit(SPREAD))
     named = labelled.filter(F.col(lang_col).isNotNull())
     limits = [
@@ -131,131 +198,93 @@ def fit(
         for value in (F.lit(row[0]), F.lit(2 * sample_docs * SPREAD // row[1]))
     ]
     if not limits:
-        return Model("", [], [], [], [])
+        return Model()
+    long = F.col("bytes") > document_bytes
+    order = Window.partitionBy("lang").orderBy(
+        long, F.when(long, F.col("bytes")), F.xxhash64(F.col("id").cast("string")), "id", F.xxhash64("text"), "text"
+    )
     rows = (
         named.filter(spread <= F.create_map(*limits)[F.col(lang_col).cast("string")])
         .select(
             F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
             F.col(text_col).cast("string").alias("text"),
         )
-        .withColumn("text", F.substring(
-            "text", 1 + F.pmod(F.xxhash64("text", F.lit(2)), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1).cast("int"),
-            F.lit(sample_chars),
-        ))
         .filter(r"text RLIKE '\\p{L}'")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= sample_docs)
+        .withColumn("bytes", F.octet_length("text"))
+        .withColumns({"place": F.row_number().over(order), "total": F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+        .filter((F.col("place") == 1) | ((F.col("place") <= sample_docs) & (F.col("total") <= sample_bytes) & ~long))
         .orderBy("lang", "place")
+        .select("lang", "text")
         .collect()
     )
     texts: dict[str, list[str]] = {}
     for row in rows:
         texts.setdefault(row["lang"], []).append(row["text"])
-    counts: dict[str, int] = {}
-    for several in texts.values():
-        for letter in "".join(several).lower():
-            if letter.isalpha() and ord(letter) <= 0xFFFF:
-                counts[letter] = counts.get(letter, 0) + 1
-    letters = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]))
-    codes = code_table(letters)
-    model = Model(letters, sorted(texts), [], [], [])
-    for language in model.languages:
-        pieces = [symbols(" " + text, codes) for text in texts[language]]
-        sizes = evenly([len(piece) for piece in pieces], automaton_chars)
-        sequence = np.concatenate([piece[:size] for piece, size in zip(pieces, sizes)])
-        states, *edges = suffix_automaton(sequence.tolist())
-        model.sizes.append(len(sequence))
-        model.states.append(states)
-        model.edges.append(tuple(edges))
+    model = Model()
+    for language in sorted(texts):
+        model.learn(language, np.concatenate([symbols(" " + text)[0] for text in texts[language]]))
     return model
 
 
-def evenly(lengths: list[int], total: int) -> list[int]:
-    """So much of each length that it makes the total, or all; what short ones leave goes to longer ones."""
-    shares = [0] * len(lengths)
-    for done, place in enumerate(sorted(range(len(lengths)), key=lambda i: lengths[i])):
-        shares[place] = min(lengths[place], total // (len(lengths) - done))
-        total -= shares[place]
-    return shares
-
-
-class Parser:
-    """Counts phrases of texts under every language of a model."""
-
-    def __init__(self, model: Model):
-        self.codes = code_table(model.letters)
-        self.bits = np.log2(np.maximum(np.array(model.sizes, dtype=float), 2))
-        wide = self.wide = LETTERS + len(model.letters)
-        bases = np.concatenate([[0], np.cumsum(model.states)]).astype(np.int64)
-        self.roots = (bases[:-1] * wide).astype(np.int64)
-        # value: where the state reached begins, doubled, plus 1 if a new phrase began
-        kind = np.int32 if 2 * bases[-1] * wide < 2**31 else np.int64
-        self.table = np.empty(int(bases[-1]) * wide, dtype=kind)
-        for base, states, (start, symbol, end) in zip(bases, model.states, model.edges):
-            block = self.table[base * wide : (base + states) * wide].reshape(states, wide)
-            first = np.full(wide, base * wide, dtype=np.int64)
-            at_root = start == 0
-            first[symbol[at_root]] = (base + end[at_root].astype(np.int64)) * wide
-            block[:] = first * 2 + 1
-            block[start, symbol] = (base + end.astype(np.int64)) * wide * 2 + at_root
-
-    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each symbol sequence under each language: (languages, texts)."""
-        owner, pieces = [], []
-        for place, sequence in enumerate(texts):
-            for at in range(0, len(sequence), WINDOW):
-                owner.append(place)
-                pieces.append(sequence[at : at + WINDOW])
-        total = np.zeros((len(self.roots), len(texts)), dtype=np.int64)
-        order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
-        for at in range(0, len(order), LANES):
-            lanes = order[at : at + LANES]
-            begun = self._walk([pieces[i] for i in lanes])
-            np.add.at(total.T, [owner[i] for i in lanes], begun.T)
-        return total
-
-    def _walk(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """Phrases begun in pieces sorted from long to short."""
-        lengths = np.array([len(p) for p in pieces])
-        grid = np.zeros((len(pieces), lengths[0]), dtype=np.uint8)
-        for lane, piece in enumerate(pieces):
-            grid[lane, : len(piece)] = piece
-        grid = np.ascontiguousarray(grid.T)
-        active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-        state = np.repeat(self.roots[:, None], len(pieces), axis=1)
-        begun = np.zeros(state.shape, dtype=np.int64)
-        for step, count in enumerate(active):
-            value = self.table.take(state[:, :count] + grid[step, :count])
-            begun[:, :count] += value & 1
-            state[:, :count] = value >> 1
-        return begun
-
-
-def predict(parser: Parser, languages: list[str], texts: list[str | None]) -> pd.DataFrame:
+def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    """Phrases of each symbol sequence under each language: (languages, texts)."""
+    owner, pieces, follows = [], [], []
+    for place, sequence in enumerate(texts):
+        for at in range(0, len(sequence), PIECE):
+            owner.append(place)
+            pieces.append(sequence[at : at + PIECE])
+            follows.append(at > 0)
+    later = np.flatnonzero(follows)
+    entry = np.repeat(model.roots[:, None], len(pieces), axis=1)
+    end = entry.copy()
+    begun = np.zeros(entry.shape, dtype=np.int32)
+    todo = np.arange(len(pieces))
+    lengths = np.array([len(piece) for piece in pieces], dtype=np.int64)
+    while len(todo):
+        todo = todo[np.argsort(-lengths[todo], kind="stable")]
+        for at in range(0, len(todo), LANES):
+            lanes = todo[at : at + LANES]
+            begun[:, lanes], end[:, lanes] = _walk(model, [pieces[i] for i in lanes], entry[:, lanes])
+        todo = later[(entry[:, later] != end[:, later - 1]).any(axis=0)]
+        entry[:, todo] = end[:, todo - 1]
+    total = np.zeros((len(texts), len(model.languages)), dtype=np.int64)
+    np.add.at(total, np.array(owner, dtype=np.int64), begun.T)
+    return total.T
+
+
+def _walk(model: Model, pieces: list[np.ndarray], state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases begun in pieces, sorted from long to short, and the states at their ends."""
+    lengths = np.array([len(p) for p in pieces])
+    grid = np.zeros((len(pieces), lengths[0]), dtype=np.uint8)
+    for lane, piece in enumerate(pieces):
+        grid[lane, : len(piece)] = piece
+    grid = np.ascontiguousarray(grid.T)
+    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+    state = state.copy()
+    begun = np.zeros(state.shape, dtype=np.int32)
+    roots = model.roots[:, None]
+    for step, count in enumerate(active):
+        now, symbol = state[:, :count], grid[step, :count]
+        slot = model.base.take(now) + symbol
+        goes_on = model.owner.take(slot) == now
+        begun[:, :count] += ~goes_on | (now == roots)
+        state[:, :count] = np.where(goes_on, model.target.take(slot), model.first.take(symbol, axis=1))
+    return begun, state
+
+
+def predict(model: Model, texts: list[str | None]) -> pd.DataFrame:
     """Language and score of each text."""
-    sequences = [symbols(t or "", parser.codes) for t in texts]
-    lettered = np.array([
-        bool((s >= LETTERS).any()) or any(c.isalpha() for c in t or "")
-        for s, t in zip(sequences, texts)
-    ], dtype=bool)
-    if not languages or not len(texts):
+    if not model.languages or not len(texts):
         return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts)})
-    cost = parser.phrases(sequences) * parser.bits[:, None]
+    read = [symbols(t or "") for t in texts]
+    lettered = np.array([has for _, has in read], dtype=bool)
+    bits = np.log2(np.maximum(np.array(model.sizes, dtype=float), 2))
+    cost = phrases(model, [s for s, _ in read]) * bits[:, None]
     best = cost.argmin(axis=0)
     excess = np.minimum(cost - cost.min(axis=0), 1000.0)
     score = np.where(lettered, 1.0 / np.exp2(-excess).sum(axis=0), 0.0)
-    names = np.array([*languages, UNDETERMINED], dtype=object)
-    return pd.DataFrame({"lang_pred": names[np.where(lettered, best, len(languages))], "score": score})
-
-
-_EXPANDED: list[tuple[Model, Parser]] = []  # of this Python worker, the last model's
-
-
-def expanded(model: Model) -> Parser:
-    """The parser of a model; a worker keeps it between its tasks."""
-    if not _EXPANDED or _EXPANDED[0][0] is not model:
-        _EXPANDED[:] = [(model, Parser(model))]
-    return _EXPANDED[0][1]
+    names = np.array([*model.languages, UNDETERMINED], dtype=object)
+    return pd.DataFrame({"lang_pred": names[np.where(lettered, best, len(model.languages))], "score": score})
 
 
 def predictor(model: Broadcast, text: Column) -> Column:
@@ -263,10 +292,8 @@ def predictor(model: Broadcast, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def language_of(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        learned = model.value
-        parser = expanded(learned)
         for texts in series:
-            yield predict(parser, learned.languages, [t if isinstance(t, str) else None for t in texts])
+            yield predict(model.value, [t if isinstance(t, str) else None for t in texts])
 
     return language_of(text)
 

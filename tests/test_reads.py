@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -118,6 +119,28 @@ def test_find(spark, wanted, found):
     assert one == many == ([found] if found else [])
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_find_many(spark, slices):
+    """Nested prefixes, gaps between them, repeated hashes, nulls and the empty text."""
+    rng = random.Random(11)
+    text = lambda most: "".join(rng.choices("abé", k=rng.randrange(most)))
+    hashes = [text(9) + "b" * 60 for _ in range(150)] + ["ab" * 32] * 40 + [None]
+    start = datetime(2024, 1, 1)
+    schema = "tick_number long, sequence_number int, tx_hash string, processed_at timestamp_ntz, version int"
+    stored = [(i // 3, i % 3, h, start + timedelta(minutes=rng.randrange(30)), -1 if i % 7 == 0 else 1) for i, h in enumerate(hashes)]
+    empty = transactions(spark).filter("false")
+    rows = empty.unionByName(spark.createDataFrame(stored, schema), allowMissingColumns=True)
+    wanted = {"", "abab", "ab" * 31, "ab" * 32, "zz", None, *(text(10) for _ in range(60)), *hashes[:20]}
+    got = lookup.find_transactions(rows, spark.createDataFrame([(w,) for w in wanted], "wanted string"), slices)
+    def newest(w):
+        fits = (lambda h: h.startswith(w)) if len(w) < 64 else (lambda h: h == w)
+        return max(((at, t, s, h) for t, s, h, at, v in stored if v > 0 and h and fits(h)), default=None)
+    expected = {w: newest(w) for w in wanted if w is not None}
+    found = {r.wanted: (r.processed_at, r.tick_number, r.sequence_number, r.tx_hash) for r in got.collect()}
+    assert found == {w: best for w, best in expected.items() if best}
+    assert got.count() == len(found)
+
+
 def test_chain_state(spark):
     state = lookup.chain_state(ticks(spark), transactions(spark), 2).first()
     assert (state.chain_height, state.total_transactions) == ("3", "5")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ticklake import schemas
 from ticklake.functions.payload import decode_bytes, decoded_json
+from ticklake.operators.ordered import running
 from ticklake.operators.parse import lower_hex, null_to_empty, read_defaults
+from ticklake.operators.slices import cut
 
 # Defaults and limits of the reads.
 RECENT_TRANSACTIONS = 50
@@ -212,31 +214,72 @@ def _newest() -> list[Column]:
     return [F.desc(c) for c in ("processed_at", "tick_number", "sequence_number", "tx_hash")]
 
 
-def find_transactions(transactions: DataFrame, wanted: DataFrame) -> DataFrame:
+def find_transactions(
+    transactions: DataFrame, wanted: DataFrame, slices: int | None = None
+) -> DataFrame:
     """``find_transaction`` for a table of hashes and prefixes (column ``wanted``).
 
-    Transactions are first reduced to the newest per candidate prefix, on the map side
-    too, so a short prefix that matches a large part of the table stays cheap; the
-    reduced rows then meet the wanted texts in an equi-join.
+    Full hashes meet the newest row of each hash. Prefixes are nested ranges of the order
+    of texts, so one sort of slim rows finds them all (``_newest_per_prefix``); no row is
+    repeated by length of prefix. Only the rows found are read with their payloads.
     """
-    wanted = wanted.select("wanted").distinct()
-    lengths = [
-        r["size"]
-        for r in wanted.select(F.least(F.length("wanted"), F.lit(FULL_HASH)).alias("size"))
-        .distinct()
-        .collect()
-    ]
     rows = live(transactions)
-    candidates = [
-        F.col("tx_hash") if size >= FULL_HASH else F.left("tx_hash", F.lit(size))
-        for size in sorted(lengths)
-    ]
-    cased = rows.withColumn("wanted", F.explode(F.array_distinct(F.array(*candidates))))
-    matched = cased.join(wanted, "wanted", "left_semi")
-    newest = current(
-        matched, ["wanted"], ["processed_at", "tick_number", "sequence_number", "tx_hash"]
+    texts = wanted.select("wanted").filter("wanted IS NOT NULL").distinct()
+    whole = texts.filter(F.length("wanted") >= FULL_HASH)
+    prefixes = texts.filter(F.length("wanted") < FULL_HASH)
+    best = (
+        rows.groupBy(F.col("tx_hash").alias("wanted")).agg(F.max(_rank()).alias("best"))
+        .join(whole, "wanted", "left_semi")
+    )
+    if not prefixes.isEmpty():
+        best = best.unionByName(_newest_per_prefix(rows, prefixes, slices))
+    found = best.select("wanted", *[F.col(f"best.{c}").alias(f"_{c}") for c in _RANK])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _RANK]
+    copies = rows.join(found, same).drop(*[f"_{c}" for c in _RANK])
+    return shown_transactions(current(copies, ["wanted"], _RANK), keep=("wanted",))
+
+
+_RANK = ["processed_at", "tick_number", "sequence_number", "tx_hash"]
+
+
+def _rank() -> Column:
+    return F.struct(*_RANK)
+
+
+def _newest_per_prefix(rows: DataFrame, prefixes: DataFrame, slices: int | None) -> DataFrame:
+    """The newest rank (column ``best``) per prefix that a live row has.
+
+    Of the prefixes that sort up to a hash the last one, or prefixes of it, are all that the
+    hash can have. So prefixes with the list of those that they begin with and hashes are
+    sorted together, the last list is carried on to the hashes, and a hash counts for the
+    longest that fits; what a prefix finds then counts for those around it too.
+    """
+    inner = prefixes.select("wanted", F.explode(F.sequence(F.lit(0), F.length("wanted"))).alias("size"))
+    nests = (
+        inner.select(F.col("wanted").alias("text"), F.expr("left(wanted, size)").alias("wanted"))
+        .join(prefixes, "wanted", "left_semi")
+        .groupBy("text")
+        .agg(F.array_sort(F.collect_list("wanted")).alias("nest"))
+    )
+    hashes = rows.select(F.col("tx_hash").alias("text"), _rank().alias("best"))
+    mixed = nests.unionByName(hashes, allowMissingColumns=True).withColumn("all", F.lit(0))
+    order = ["text", "best"]  # a prefix, which has no rank, comes before equal hashes
+    cells = cut(mixed, ["all"], order, slices)
+    met = running(cells, ["all"], order, {"open": ("last", F.col("nest"))}, sliced=True)
+    fits = F.filter("open", lambda p: F.col("text").startswith(p))
+    deepest = (
+        met.filter("best IS NOT NULL")
+        .select(F.get(fits, F.size(fits) - 1).alias("text"), "best")
+        .filter("text IS NOT NULL")
+        .groupBy("text")
+        .agg(F.max("best").alias("best"))
+    )
+    return (
+        deepest.join(nests, "text")
+        .select(F.explode("nest").alias("wanted"), "best")
+        .groupBy("wanted")
+        .agg(F.max("best").alias("best"))
     )
-    return shown_transactions(newest, keep=("wanted",))
 
 
 def last_tick(ticks: DataFrame) -> DataFrame:

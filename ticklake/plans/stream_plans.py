@@ -13,7 +13,7 @@ from ticklake.operators import candles, lookup, quality, rollups
 from ticklake.plans import adapters as a
 from ticklake.plans import chain_plans, metric_plans, price_plans, quality_plans
 from ticklake.sinks import tables, upkeep
-from ticklake.streaming import closing, ingest, keyed, live, signers
+from ticklake.streaming import closing, ingest, keyed, late, live, signers
 
 
 class StreamInput:
@@ -212,7 +212,31 @@ def _upserted(spark, sf_dir):
     )
 
 
+def _late_rows(spark, sf_dir):
+    """Transactions come in four batches; each counts those a day behind the batches before."""
+    stored, path = scratch_path(spark, "rows"), scratch_path(spark, "late")
+    rows = a.transactions_dense(spark, sf_dir).select(
+        "sequence_number", F.col("processed_at").cast("timestamp").alias("processed_at")
+    )
+    files = 4
+    for part in range(4):
+        batch = rows.filter(F.col("sequence_number") % 4 == part)
+        batch.repartition(files).write.mode("append").parquet(stored)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(stored)
+    run = late.account(lambda batch, batch_id: None, path, lateness="1 day")
+    started = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    started.awaitTermination()
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("watermark", "newest")}
+    return late.accounts(spark, path).withColumns(ntz)
+
+
 QUERIES = {
+    "stream_late_rows": _late_rows,
     "stream_sequence_state": _sequence,
     "stream_reorg_events": _reorg,
     "stream_prices_thinned": _thin,
@@ -249,6 +273,15 @@ filled AS (
   LEFT JOIN found f ON f.market_id = g.market_id AND f.t = g.t)"""
 
 SQL = {
+    "stream_late_rows": f"""WITH {a.TRANSACTIONS_DENSE},
+batches AS (
+  SELECT sequence_number % 4 AS batch_id, max(processed_at) AS top FROM transactions GROUP BY 1),
+marks AS (
+  SELECT batch_id, max(top) OVER (ORDER BY batch_id) AS newest, max(top) OVER (ORDER BY batch_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS watermark FROM batches)
+SELECT batch_id, count(*) AS n_rows, count(*) FILTER (processed_at < watermark) AS n_late,
+  any_value(watermark) AS watermark, any_value(newest) AS newest
+FROM transactions JOIN marks ON sequence_number % 4 = batch_id GROUP BY batch_id""",
     "stream_candles_closed": f"""{_CLOSED_CANDLES}, carried AS (
   SELECT *, last_value(c IGNORE NULLS) OVER (PARTITION BY market_id ORDER BY t
     ROWS UNBOUNDED PRECEDING) AS seen FROM filled)

@@ -88,35 +88,40 @@ def reorg_events(rows: DataFrame, group_rows: int | None = None) -> DataFrame:
 
 
 def window_step(size: int):
-    """Fold step that remembers recent ticks by number.
-
-    After storing tick n with more than ``size`` numbers remembered, those below
-    n - size + 1 are forgotten. A conflicting copy is reported and not stored.
-    """
+    """Fold step that remembers recent ticks by number; the state is a map in JSON."""
 
     def step(state, columns, outputs):
         seen = {int(number): entry for number, entry in state.items()}
-        reasons, old_arrivals, sizes = outputs
-        for arrival, number, output, batch, previous, count in zip(*columns):
-            old = seen.get(number)
-            reason = [] if old is None else _differences(old, output, batch, previous, count)
-            if reason:
-                reasons.append(", ".join(reason))
-                old_arrivals.append(old[0])
-            else:
-                reasons.append(None)
-                old_arrivals.append(None)
-                seen[number] = [arrival, output, batch, previous, count]
-                if len(seen) > size:
-                    oldest = max(number - size + 1, 0)
-                    for stale in [n for n in seen if n < oldest]:
-                        del seen[stale]
-            sizes.append(len(seen))
+        compare(seen, size, columns, outputs)
         return {str(number): entry for number, entry in seen.items()}
 
     return step
 
 
+def compare(seen, size: int, columns: list[list], outputs: list[list]) -> None:
+    """Compare ticks with those in the mutable mapping ``seen`` and remember them there.
+
+    After storing tick n with more than ``size`` numbers remembered, those below
+    n - size + 1 are forgotten. A conflicting copy is reported and not stored.
+    """
+    reasons, old_arrivals, sizes = outputs
+    for arrival, number, output, batch, previous, count in zip(*columns):
+        old = seen.get(number)
+        reason = [] if old is None else _differences(old, output, batch, previous, count)
+        if reason:
+            reasons.append(", ".join(reason))
+            old_arrivals.append(old[0])
+        else:
+            reasons.append(None)
+            old_arrivals.append(None)
+            seen[number] = [arrival, output, batch, previous, count]
+            if len(seen) > size:
+                oldest = max(number - size + 1, 0)
+                for stale in [n for n in seen if n < oldest]:
+                    del seen[stale]
+        sizes.append(len(seen))
+
+
 def _differences(old, output, batch, previous, count) -> list[str]:
     _, old_output, old_batch, old_previous, old_count = old
     reasons = []

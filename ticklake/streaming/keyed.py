@@ -8,7 +8,7 @@ can be is set by the source's rate options.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, MutableMapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -87,14 +87,81 @@ def sequence_stream(slim: DataFrame) -> DataFrame:
     )
 
 
+class Remembered(MutableMapping):
+    """A map state as a mapping: values are read when asked for, changes written by ``save``."""
+
+    def __init__(self, state):
+        self._state, self._changed = state, {}
+        self._numbers = {number for (number,) in state.keys()} if state.exists() else set()
+        self._stored = set(self._numbers)
+
+    def __getitem__(self, number):
+        if number not in self._numbers:
+            raise KeyError(number)
+        if number not in self._changed:
+            self._changed[number] = tuple(self._state.getValue((number,)))
+        return self._changed[number]
+
+    def __setitem__(self, number, entry):
+        self._numbers.add(number)
+        self._changed[number] = tuple(entry)
+
+    def __delitem__(self, number):
+        self._numbers.remove(number)
+        self._changed.pop(number, None)
+
+    def __iter__(self):
+        return iter(self._numbers)
+
+    def __len__(self):
+        return len(self._numbers)
+
+    def save(self) -> None:
+        for number in self._stored - self._numbers:
+            self._state.removeKey((number,))
+        for number, entry in self._changed.items():
+            self._state.updateValue((number,), entry)
+
+
+class ReorgProcessor(StatefulProcessor):
+    """Compares ticks with those remembered per number. A batch reads the numbers, reads and
+    writes the entries of its own ticks and removes those that it puts out of the window."""
+
+    def __init__(self, size: int):
+        self._size = size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getMapState(
+            "seen", "number bigint",
+            "arrival bigint, output string, batch_hash string, previous_output string, tx_count int",
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values("arrival")
+        seen = Remembered(self._seen)
+        outputs: list[list] = [[] for _ in reorg.WINDOW_OUTPUTS]
+        reorg.compare(seen, self._size, [frame[name].tolist() for name in reorg.WINDOW_INPUTS], outputs)
+        seen.save()
+        reasons, old_arrivals, _ = outputs
+        found = frame[["source_id", "tick_number", "arrival"]].assign(
+            old_arrival=pd.array(old_arrivals, dtype="Int64"), conflict_reason=reasons
+        )
+        yield found[[reason is not None for reason in reasons]]
+
+    def close(self) -> None:
+        pass
+
+
 def reorg_stream(rows: DataFrame, size: int = reorg.WINDOW_SIZE) -> DataFrame:
     """Conflicts with the ticks remembered per source, as they arrive."""
-    found = fold_stream(
-        rows, ["source_id"], ["arrival"], reorg.window_step(size), {},
-        {name: F.col(name) for name in reorg.WINDOW_INPUTS}, reorg.WINDOW_OUTPUTS,
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    columns = ["source_id", "tick_number", "arrival"]
+    schema = T.StructType(
+        [*rows.select(*columns).schema.fields, T.StructField("old_arrival", T.LongType()),
+         T.StructField("conflict_reason", T.StringType())]
     )
-    return found.filter(F.col("conflict_reason").isNotNull()).select(
-        "source_id", "tick_number", "arrival", "old_arrival", "conflict_reason"
+    return rows.groupBy("source_id").transformWithStateInPandas(
+        statefulProcessor=ReorgProcessor(size), outputStructType=schema, outputMode="Append", timeMode="None"
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 from datetime import datetime, timedelta
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators import candles as c
 from ticklake.operators import lookup
+from ticklake.plans import adapters
 
 DAY = datetime(2024, 3, 1)
 
@@ -163,3 +166,59 @@ def test_limits_and_pages(spark):
             lookup.page(rows, ["id"], limit, offset)
     assert lookup.where_equal(rows, id=None).count() == 10
     assert lookup.where_equal(rows, id=3).count() == 1
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def test_transactions_meet_their_ticks_in_one_shuffle(spark):
+    """Ticks, transactions and, of split ticks, the distinct cells and the ticks per cell."""
+    heads, rows = ticks(spark), transactions(spark)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = plan(lookup.tick_documents(heads, rows, document_rows=None))
+        parts = plan(lookup.tick_documents(heads, rows, document_rows=10))
+        flat = plan(lookup.tick_transactions(heads, rows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert [p.count("Exchange hashpartitioning") for p in (whole, parts, flat)] == [2, 5, 5]
+    assert [p.count("collect_list") > 0 for p in (whole, parts, flat)] == [True, True, False]
+
+
+def test_documents_of_odd_rows(spark):
+    """Several cells in a tick, no sequence number, hashes that are not hexadecimal, copies."""
+    hashes = ["ab" * 32, "AB" * 32, "", None, "xyz", "abc"]
+    rows = spark.createDataFrame(
+        [(1, n, h, f"id{i}", 1, b"", 1, None, None, 1, at(i), 0, None, 1)
+         for i, (n, h) in enumerate(zip([0, 9_999, 10_000, None, -1, 25_000], hashes))]
+        + [(1, 0, "00", "old", 1, b"", 1, None, None, 1, at(-9), 0, None, 1)],
+        transactions(spark).schema,
+    )
+    flat = lookup.tick_transactions(ticks(spark), rows, numbers=[1]).collect()
+    assert {(r.sequence_number, r.tx_hash) for r in flat} == {
+        (0, "ab" * 32), (9_999, "AB" * 32), (10_000, ""), (None, None), (-1, "xyz"), (25_000, "abc")
+    }
+    assert len(flat) == 6
+    nested = lookup.tick_documents(ticks(spark), rows, numbers=[1], document_rows=5_000).collect()
+    assert sorted((r.part is None, r.part, [t.tx_id for t in r.transactions]) for r in nested) == [
+        (False, -1, ["id4"]), (False, 0, ["id0"]), (False, 1, ["id1"]), (False, 2, ["id2"]),
+        (False, 5, ["id5"]), (True, None, ["id3"]),
+    ]
+    (whole,) = lookup.tick_documents(ticks(spark), rows, numbers=[1], document_rows=None).collect()
+    assert [t.tx_id for t in whole.transactions] == ["id3", "id4", "id0", "id1", "id2", "id5"]
+
+
+def test_one_large_file_is_not_dealt_anew(spark, tmp_path):
+    spark.range(100_000).coalesce(1).write.parquet(f"{tmp_path}/one", compression="none")
+    table = spark.read.parquet(f"{tmp_path}/one")
+    assert "RoundRobin" in plan(adapters.spread(table))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert "RoundRobin" not in plan(adapters.spread(spark.read.parquet(f"{tmp_path}/one")))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,58 +113,86 @@ def page_after(
     return rows.orderBy(*keys).limit(limit)
 
 
+def _shown(field: Callable[[str], Column]) -> list[Column]:
+    """Columns of a transaction as readers see it, without the number of its tick."""
+    texts = {
+        "payload": lower_hex(field("payload")),
+        "payload_decoded": decoded_json(decode_bytes(field("payload"))),
+        "public_key": lower_hex(field("public_key")),
+        "signature": lower_hex(field("signature")),
+        "payload_type": null_to_empty(field("payload_type")),
+    }
+    return [(texts[c] if c in texts else field(c)).alias(c) for c in _SHOWN]
+
+
+_SHOWN = [
+    "sequence_number", "tx_hash", "tx_id", "nonce", "payload", "payload_decoded", "timestamp_us",
+    "public_key", "signature", "ingestion_timestamp", "processed_at", "payload_size",
+    "payload_type", "version",
+]
+
+
 def shown_transactions(transactions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Transactions as readers see them: bytes in hexadecimal, the payload also decoded."""
-    return transactions.select(
-        *keep,
-        "tick_number",
-        "sequence_number",
-        "tx_hash",
-        "tx_id",
-        "nonce",
-        lower_hex("payload").alias("payload"),
-        decoded_json(decode_bytes(F.col("payload"))).alias("payload_decoded"),
-        "timestamp_us",
-        lower_hex("public_key").alias("public_key"),
-        lower_hex("signature").alias("signature"),
-        "ingestion_timestamp",
-        "processed_at",
-        "payload_size",
-        null_to_empty("payload_type").alias("payload_type"),
-        "version",
-    )
+    return transactions.select(*keep, "tick_number", *_shown(F.col))
 
 
 def _only(rows: DataFrame, numbers: Sequence[int] | None) -> DataFrame:
     return rows if numbers is None else rows.filter(F.col("tick_number").isin(list(numbers)))
 
 
+# Stands for the place of a transaction without sequence number, so that plain equality joins it.
+_NO_PLACE = -(2**63)
+
+
+def _dealt(
+    ticks: DataFrame, transactions: DataFrame, numbers: Sequence[int] | None, rows_each: int | None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Current ticks, one row per cell, current transactions, and the columns of a cell.
+
+    A cell is a tick, or ``rows_each`` sequence numbers of one, so that a tick with most of
+    the transactions is many cells. Transactions are dealt by cell once, with their payloads
+    as stored; picking the current ones, nesting and the join with the ticks all follow in
+    the same tasks. Ticks without transactions have one row, with a null ``_cell``.
+    """
+    head = read_defaults(current_ticks(_only(ticks, numbers)))
+    rows = live(_only(transactions, numbers))
+    cell = ["tick_number"]
+    if rows_each is not None:
+        cell = ["tick_number", "_cell"]
+        place = F.floor(F.col("sequence_number") / F.lit(rows_each))
+        rows = rows.withColumn("_cell", F.coalesce(place, F.lit(_NO_PLACE)))
+        head = head.join(rows.select(*cell).distinct(), "tick_number", "left")
+    # A hash travels as its bytes, if it is lower-case hexadecimal, else as it is.
+    packed = F.when(F.col("tx_hash").rlike(r"\A([0-9a-f]{2})+\z"), F.unhex("tx_hash"))
+    dealt = (
+        rows.withColumn("_packed", packed)
+        .withColumn("tx_hash", F.when(F.col("_packed").isNull(), F.col("tx_hash")))
+        .repartition(*cell)
+        .withColumn("tx_hash", F.coalesce(lower_hex("_packed"), "tx_hash"))
+        .drop("_packed")
+    )
+    return head, current(dealt, [*cell, "sequence_number"], ("processed_at", "tx_hash")), cell
+
+
 def tick_transactions(
     ticks: DataFrame, transactions: DataFrame, numbers: Sequence[int] | None = None
 ) -> DataFrame:
     """Each current tick with each of its current transactions, one row per pair; a tick
-    without any has one row with null transaction columns.
-
-    The pairs come from an inner join, which can be split when one tick has most of the
-    transactions; an outer join with the large side on the right cannot.
-    """
-    head = read_defaults(current_ticks(_only(ticks, numbers)))
-    rows = current_transactions(_only(transactions, numbers))
-    renamed = shown_transactions(rows).select(
-        "tick_number",
+    without any has one row with null transaction columns."""
+    head, rows, cell = _dealt(ticks, transactions, numbers, DOCUMENT_ROWS)
+    renamed = shown_transactions(rows, tuple(cell[1:])).select(
+        *cell,
         *[
             F.col(c).alias(f"tx_{c}" if c in head.columns else c)
             for c in schemas.TRANSACTIONS.fieldNames() + ["payload_decoded"]
             if c != "tick_number"
         ],
     )
-    with_rows = head.join(renamed, "tick_number")
-    return with_rows.unionByName(_without_rows(head, rows), allowMissingColumns=True)
-
-
-def _without_rows(head: DataFrame, rows: DataFrame) -> DataFrame:
-    """Ticks that have none of the rows. The distinct numbers are combined on the map side."""
-    return head.join(rows.select("tick_number").distinct(), "tick_number", "left_anti")
+    return head.join(renamed, cell, "left").select(
+        *[c for c in head.columns if c not in cell[1:]],
+        *[c for c in renamed.columns if c not in cell],
+    )
 
 
 def tick_documents(
@@ -179,25 +207,24 @@ def tick_documents(
     by ``part``, so no array grows without bound; with ``None`` each tick is one document.
     A tick without any has an empty list.
     """
-    head = read_defaults(current_ticks(_only(ticks, numbers)))
-    rows = current_transactions(_only(transactions, numbers))
-    part = F.lit(0).cast("bigint") if document_rows is None else F.floor(
-        F.col("sequence_number") / F.lit(document_rows)
-    )
-    fields = [c for c in shown_transactions(rows).columns if c != "tick_number"]
-    nested = (
-        shown_transactions(rows)
-        .groupBy("tick_number", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("transactions"))
+    part = F.lit(0).cast("bigint")
+    cell_rows = None
+    if document_rows is not None:
+        part = F.floor(F.col("sequence_number") / F.lit(document_rows))
+        cell_rows = document_rows * max(1, DOCUMENT_ROWS // document_rows)  # whole documents
+    head, rows, cell = _dealt(ticks, transactions, numbers, cell_rows)
+    # Nested as stored: the texts that readers see are several times as large.
+    stored = [c for c in _SHOWN if c != "payload_decoded"]
+    nested = rows.groupBy(*cell, part.alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct(*stored))).alias("_stored")
     )
-    with_rows = head.join(nested, "tick_number")
-    without = _without_rows(head, live(_only(transactions, numbers))).withColumns(
-        {
-            "part": F.lit(0).cast("bigint"),
-            "transactions": F.array().cast(nested.schema["transactions"].dataType),
-        }
+    none = F.col("_stored").isNull()
+    shown = F.transform("_stored", lambda row: F.struct(*_shown(row.getField)))
+    return head.join(nested, cell, "left").select(
+        *[c for c in head.columns if c not in cell[1:]],
+        F.when(none, F.lit(0).cast("bigint")).otherwise(F.col("part")).alias("part"),
+        F.coalesce(shown, F.array()).alias("transactions"),
     )
-    return with_rows.unionByName(without)
 
 
 def find_transaction(transactions: DataFrame, tx_hash: str) -> DataFrame:

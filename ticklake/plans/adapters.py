@@ -15,13 +15,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A table of fewer files than cores, spread over the cores: the test tables are one
-    file each, and costly row-wise work on them would run in one task. Larger tables and
-    streams are left as they are."""
+    """A table read in fewer parts than there are cores, spread over the cores: the test
+    tables are one file each, and costly row-wise work on them would run in one task. Larger
+    tables, also in one file, and streams are left as they are."""
     if table.isStreaming:
         return table
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    if len(table.inputFiles()) >= cores or table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores)
 
 
 def micros(ts: str) -> Column:

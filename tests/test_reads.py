@@ -222,3 +222,11 @@ def test_one_large_file_is_not_dealt_anew(spark, tmp_path):
         assert "RoundRobin" not in plan(adapters.spread(spark.read.parquet(f"{tmp_path}/one")))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_full_hashes_are_found_in_one_reading(spark):
+    rows = transactions(spark)
+    found = lookup.find_transactions(rows, rows.select(F.rpad("tx_hash", 64, "0").alias("wanted")))
+    read = plan(found)
+    assert read.count("payload_size#") > 0 and read.count("Join") == 1
+    assert read.count("Exchange hashpartitioning") <= 3

@@ -246,24 +246,24 @@ def find_transactions(
 ) -> DataFrame:
     """``find_transaction`` for a table of hashes and prefixes (column ``wanted``).
 
-    Full hashes meet the newest row of each hash. Prefixes are nested ranges of the order
-    of texts, so one sort of slim rows finds them all (``_newest_per_prefix``); no row is
-    repeated by length of prefix. Only the rows found are read with their payloads.
+    The rows of full hashes meet them in one shuffle by hash, where the newest is taken.
+    Prefixes are nested ranges of the order of texts, so one sort of slim rows finds them all
+    (``_newest_per_prefix``); no row is repeated by length of prefix. Only the rows found are
+    read with their payloads.
     """
     rows = live(transactions)
     texts = wanted.select("wanted").filter("wanted IS NOT NULL").distinct()
     whole = texts.filter(F.length("wanted") >= FULL_HASH)
     prefixes = texts.filter(F.length("wanted") < FULL_HASH)
-    best = (
-        rows.groupBy(F.col("tx_hash").alias("wanted")).agg(F.max(_rank()).alias("best"))
-        .join(whole, "wanted", "left_semi")
-    )
+    hashed = rows.withColumn("wanted", F.col("tx_hash"))
+    newest = current(hashed.join(whole, "wanted", "left_semi"), ["wanted"], _RANK)
     if not prefixes.isEmpty():
-        best = best.unionByName(_newest_per_prefix(rows, prefixes, slices))
-    found = best.select("wanted", *[F.col(f"best.{c}").alias(f"_{c}") for c in _RANK])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _RANK]
-    copies = rows.join(found, same).drop(*[f"_{c}" for c in _RANK])
-    return shown_transactions(current(copies, ["wanted"], _RANK), keep=("wanted",))
+        best = _newest_per_prefix(rows, prefixes, slices)
+        found = best.select("wanted", *[F.col(f"best.{c}").alias(f"_{c}") for c in _RANK])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _RANK]
+        copies = rows.join(found, same).drop(*[f"_{c}" for c in _RANK])
+        newest = newest.unionByName(current(copies, ["wanted"], _RANK))
+    return shown_transactions(newest, keep=("wanted",))
 
 
 _RANK = ["processed_at", "tick_number", "sequence_number", "tx_hash"]

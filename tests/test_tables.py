@@ -5,12 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from test_quality import HASH, NOW, entry, frame, tick
 from ticklake import schemas
 from ticklake.functions.session import scratch_path
 from ticklake.operators import lookup, metrics, prices, quality, reorg, rollups
+from ticklake.plans import adapters
 from ticklake.sinks import folders, tables, upkeep
 from ticklake.sources import ticks as sources
 from ticklake.streaming import ingest, keyed, live
@@ -319,3 +321,18 @@ def test_touched_ranges(spark):
     assert live.touched_ranges(rows, rollups.TRANSACTIONS_HOURLY) == [
         (DAY, DAY + timedelta(hours=2)), (DAY + timedelta(hours=5), DAY + timedelta(hours=6))
     ]
+
+
+def test_a_batch_of_one_time_is_not_dealt_by_hour(spark, tmp_path, monkeypatch):
+    """Ticks, transactions and quarantine of a batch go to one folder each, from the tasks that have them."""
+    hints = []
+    hint = DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda self, *a: hints.append(self.columns) or hint(self, *a))
+    orders = spark.createDataFrame([(k, k % 3) for k in range(200)], "o_orderkey bigint, o_custkey bigint")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    ticks = adapters.nested_ticks(spark, str(tmp_path))
+    ingest.ingest_batch(ticks, f"{tmp_path}/plain", 0)
+    assert hints == []
+    ingest.ingest_batch(ticks, f"{tmp_path}/checked", 0, validate=True)
+    assert [c for c in hints if "conflict_reason" not in c] == []
+    assert lookup.live(ingest.stored_ticks(spark, f"{tmp_path}/plain")).count() > 100

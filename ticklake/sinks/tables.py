@@ -30,12 +30,16 @@ def with_partitions(rows: DataFrame, time: str, batch_id: int = 0) -> DataFrame:
     )
 
 
-def replace_partitions(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def replace_partitions(
+    rows: DataFrame, path: str, partitions: Sequence[str], one_partition: bool = False
+) -> None:
     """Overwrite just the partitions that occur in ``rows``. The rebalance hint merges
-    small and splits large partitions by size, so one busy hour is written by many tasks."""
+    small and splits large partitions by size, so one busy hour is written by many tasks.
+    Rows that all belong to ``one_partition`` are written by the tasks that have them."""
+    if not one_partition:
+        rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
     (
-        rows.hint("rebalance", *[F.col(c) for c in partitions])
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -49,12 +53,14 @@ def write_rows(
     batch_id: int = 0,
     newest: Sequence[str] = ("processed_at",),
     columns: Sequence[str] | None = None,
+    one_time: bool = False,
 ) -> None:
     """Upsert by appending: within the batch the newest row of a key is kept, and readers
     take the newest row over all batches (see ``read_current``). ``columns`` are those to
-    store, when ``newest`` names others."""
+    store, when ``newest`` names others. With ``one_time`` all rows have the same time."""
     latest = current(rows, keys, newest).select(*(columns or rows.columns))
-    replace_partitions(with_partitions(latest, "processed_at", batch_id), path, PARTITIONS)
+    dated = with_partitions(latest, "processed_at", batch_id)
+    replace_partitions(dated, path, PARTITIONS, one_time)
 
 
 def read_rows(

@@ -47,9 +47,9 @@ def batch_time(spark: SparkSession, root: str, batch_id: int, clock: Clock = utc
     return datetime.fromisoformat(spark.read.schema("at string").parquet(path).first()["at"])
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def _write_batch(rows: DataFrame, path: str, batch_id: int, wide: bool = False) -> None:
     numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    replace_partitions(numbered, path, ["batch_id"])
+    replace_partitions(numbered, path, ["batch_id"], one_partition=wide)
 
 
 def _load_state(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
@@ -143,7 +143,7 @@ def store_batch(
     ticks: DataFrame, root: str, batch_id: int, at: datetime, classify: bool = True
 ) -> None:
     """Write tick and transaction rows of a batch. When one tick occurs twice, the later
-    arrival wins."""
+    arrival wins. A batch has one time, so the rows are not dealt anew by hour."""
     stamp = _utc(at)
     order = ("processed_at", "arrival")
     # The arrival decides within the batch only; it is not a stored column.
@@ -155,7 +155,7 @@ def store_batch(
     )
     write_rows(
         tick_rows, f"{root}/ticks", schemas.TICK_KEYS, batch_id, order,
-        schemas.TICKS.fieldNames(),
+        schemas.TICKS.fieldNames(), one_time=True,
     )
     kind = parse.payload_class("payload") if classify else F.lit("")
     rows = parse.explode_transactions(ticks, keep=("arrival",)).withColumns(
@@ -163,7 +163,7 @@ def store_batch(
     )
     write_rows(
         rows, f"{root}/transactions", schemas.TRANSACTION_KEYS, batch_id, (*order, "tx_hash"),
-        schemas.TRANSACTIONS.fieldNames(),
+        schemas.TRANSACTIONS.fieldNames(), one_time=True,
     )
 
 
@@ -186,7 +186,7 @@ def ingest_batch(
             held = [ticks.persist()]
         else:
             accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
-            _write_batch(quarantined, f"{root}/quarantine", batch_id)
+            _write_batch(quarantined, f"{root}/quarantine", batch_id, wide=True)
             found = events.withColumn("at", _utc(at))
             _write_batch(found, f"{root}/invalidations", batch_id)
         if write is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ticklake import schemas
 from ticklake.operators import quality, reorg
 from ticklake.operators.ordered import fold_with_states
+from ticklake.plans import quality_plans
 
 NOW = datetime(2024, 5, 1, 12, 0)
 HASH = "ab" * 32
@@ -211,3 +214,15 @@ def test_row_predicates(spark):
     assert [tuple(r) for r in rows.collect()] == [
         (True, True, True), (False, False, False), (False, False, True), (False, False, False)
     ]
+
+
+def test_severity_checks_ticks_once(spark, tmp_path):
+    """The three parts read one stored check; there is no join of ticks in their plan."""
+    orders = spark.createDataFrame([(k, k % 3) for k in range(200)], "o_orderkey bigint, o_custkey bigint")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    rows = quality_plans._severity(spark, str(tmp_path))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        rows.explain()
+    assert "Join" not in out.getvalue()
+    assert rows.count() == 200 and rows.select("severity").distinct().count() == 3

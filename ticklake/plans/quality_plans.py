@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ticklake.functions.session import cut_lineage
 from ticklake.operators.ordered import running
 from ticklake.operators import quality as q
 from ticklake.operators import reorg
@@ -138,7 +139,10 @@ def _highest_before(spark, sf_dir):
 
 
 def _severity(spark, sf_dir):
-    parts = q.split_by_severity(q.validate(_nested(spark, sf_dir), NOW))
+    checked = q.validate(_nested(spark, sf_dir), NOW)
+    # Checked once and stored, as each of the three parts reads them.
+    stored = cut_lineage(checked.select("arrival", "tick_number", "is_valid", "issues"))
+    parts = q.split_by_severity(stored)
     labelled = [
         part.select("arrival", "tick_number", "is_valid", F.lit(name).alias("severity"))
         for name, part in zip(("clean", "warned", "quarantined"), parts)

@@ -85,3 +85,19 @@ def test_repeated_ids_and_empty_table(spark):
         (g[0], g[2]) for g in got) == [(1, 1), (5, 2), (5, 3), (5, 3)]
     assert sorted(g[1] for g in got)[0] == 0
     assert token_files.write_and_read(twice.limit(0), PATH).collect() == []
+
+
+def test_a_word_is_looked_up_once_in_a_group():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    ours, library = token_files.Encoder(PATH), Tokenizer.from_file(PATH)
+    ours.recent = Counted()
+    texts = ["the cat\x1cand  the\xa0dog, ", "", " \n", "the dog, the cat"] * 50
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode_each(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ours.recent.asked <= 10

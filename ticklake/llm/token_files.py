@@ -37,6 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -44,10 +45,9 @@ from tokenizers import Tokenizer
 from ticklake.llm.common import scratch, staged
 
 BLOCK = 16_384  # ids
-MEMO = 400_000  # words remembered per generation
-PART = 1 << 20  # characters whose words are held at a time
+MEMO = 200_000  # words remembered per generation
+PART = 1 << 21  # characters whose words are looked up at a time
 
-_ODD = re.compile("[\x1c-\x1f]")  # white space for str.split(), not for tokenizers
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")  # letters, then marks
 _HEAD = struct.Struct("<4sIIIBI")
 _TAIL = struct.Struct("<QIIIQ4s")
@@ -146,11 +146,18 @@ def read_document(data: bytes, place: int) -> np.ndarray:
     return np.concatenate(out)[first - base : last - base]
 
 
+def _joined(words: pa.Array) -> str:
+    """Words without white space as one text, with a space between two."""
+    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(listed, pa.scalar(" ", pa.large_string()))[0].as_py()
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, with a memo of words between white space.
+    """Ids of texts by the tokenizers library, with a memo of words between ASCII white space.
 
     Words between white space are encoded apart: the splitting of the vocabularies used
-    here never joins across white space, which is checked when loading.
+    here never joins across white space, which is checked when loading. Arrow splits the
+    texts and numbers their words, so Python meets each distinct word once in a group.
     """
 
     def __init__(self, path: str):
@@ -182,14 +189,17 @@ class Encoder:
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of distinct words."""
         if len(self.recent) > MEMO:
             self.older, self.recent = self.recent, {}
         if len(self.stems) > MEMO:
             self.stems = {}
         recent, older, plain = self.recent, self.older, _PLAIN.fullmatch
         apart, simple = [], []
-        for word in words.difference(recent):
+        for word in words:
+            if word in recent:
+                continue
             known = older.get(word)
             if known is not None:
                 recent[word] = known
@@ -228,14 +238,19 @@ class Encoder:
         return next(self.encode_each([text]))
 
     def encode_each(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Ids of each text; new words are encoded for about PART characters at a time."""
+        """Ids of each text; words are looked up for about PART characters at a time."""
         group: list[tuple[str, bool]] = []  # parts, and whether they end their text
         held, begun = 0, []
         for text in texts:
+            if not self.splits:
+                yield from self._encode_group(group, begun)
+                group, held = [], 0
+                yield np.array(self._whole(text), dtype="<u4").tobytes()
+                continue
             at = 0
             while True:
                 end = text.find(" ", at + PART)
-                end = len(text) if end < 0 or not self.splits or _ODD.search(text) else end
+                end = len(text) if end < 0 else end
                 group.append((text[at:end], end == len(text)))
                 held += end - at
                 at = end
@@ -247,14 +262,24 @@ class Encoder:
         yield from self._encode_group(group, begun)
 
     def _encode_group(self, group: list[tuple[str, bool]], begun: list[bytes]) -> Iterator[bytes]:
-        whole = [not self.splits or _ODD.search(part) is not None for part, _ in group]
-        split = [[] if alone else part.split() for (part, _), alone in zip(group, whole)]
-        self._learn(set().union(*split))
-        for (part, last), alone, words in zip(group, whole, split):
-            if alone:
-                begun.append(np.array(self._whole(part), dtype="<u4").tobytes())
-            else:
-                begun += map(self.recent.__getitem__, words)
+        """Each distinct word of the parts is looked up once; the rest is done on its number."""
+        if not group:
+            return
+        split = pc.ascii_split_whitespace(pa.array([part for part, _ in group], pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        distinct = _joined(coded.dictionary).split(" ") if len(coded.dictionary) else []
+        self._learn(distinct)
+        found = list(map(self.recent.__getitem__, distinct))
+        data = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        number = coded.indices.to_numpy()
+        size = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        shift = (np.cumsum(sizes) - sizes)[number] - ends[:-1]
+        ids = data[np.repeat(shift, size) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        for (_, last), low, high in zip(group, bounds, bounds[1:]):
+            begun.append(ids[low:high].tobytes())
             if last:
                 yield b"".join(begun)
                 begun.clear()

@@ -109,3 +109,31 @@ def test_sample_is_bounded_and_of_whole_texts(spark):
     long = spark.createDataFrame([(1, "a" * 500, "en"), (2, "b" * 300, "en"), (3, "c" * 400, "en")], schema)
     assert li.fit(long, document_bytes=100).sizes == [301]
     assert li.fit(long.union(learn.limit(1)), document_bytes=100).sizes == [whole]
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """Words of the last of many documents, of a very long one and of each task count."""
+    monkeypatch.setattr(li, "COUNTED", 5)
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, "alpha beta", "x") for i in range(2000)] + [(i, f"Alpha w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}!", "y") for i in range(2000)]
+    rows += [(5000, "gamma " * 20_000 + "日" * 40, "x"), (5001, None, "x"), (5002, "7 8", "z"), (5003, "word", None)]
+    learn = spark.createDataFrame(rows, schema).repartition(7)
+    counts = {(r["lang"], bytes(r["word"])): r["n"] for r in li.word_counts(learn).collect()}
+    assert counts["x", b"alpha"] == counts["x", b"beta"] == counts["y", b"alpha"] == 2000 and counts["x", b"gamma"] == 20_000
+    assert sum(n for (lang, word), n in counts.items() if lang == "y" and word != b"alpha") == 2000
+    assert {len(word) for lang, word in counts if word[:1] >= b"\x80"} <= {li.WORD, 24}
+    model = li.learn(learn)
+    assert model.languages == ["x", "y"]
+    got = li.predict(model, ["gamma gamma", "wzz wab", "日日日", "alpha beta", "12", None])
+    assert got["lang_pred"].tolist() == ["x", "y", "x", "x", "und", "und"]
+    small = li.learn(learn, model_bytes=14)
+    assert 1 + len("gamma ") <= small.sizes[0] <= 1 + len("gamma alpha beta ")
+    assert li.learn(learn.limit(0)).languages == []
+
+
+def test_held_out_accuracy_of_all_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = li.learn(docs.filter(li.learnable(docs)))
+    got = li.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    right = got.filter("crc32(cast(doc_id AS string)) % 3 = 1").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right >= 0.98

@@ -13,11 +13,15 @@ walk all automata side by side in numpy, and a piece is walked again for as long
 state that the piece before it ends in is not the one it began with. Nearly always that
 is once, since parses that differ at first soon meet.
 
-Bounds: at most ``sample_docs`` labelled documents per language are learned from, each as
-a whole, taken in hashed order while they fit into ``sample_bytes``; documents longer than
-``document_bytes`` are not in the sample. A language that has only such ones is learned
-from the shortest. The automata, a few bytes per edge, are broadcast in the form that is walked; they
-grow with the number of languages, by some megabytes each.
+``learn`` counts the words of all labelled texts, each as a whole. The automaton of a language
+reads its words from the most to the least frequent, as many as make ``MODEL_BYTES``; of the
+words that are as frequent as the last ones, a share by hash. So every labelled row counts,
+while the automata, built in tasks and broadcast in the form that is walked, stay at some megabytes
+a language. A run of letters longer than ``WORD`` bytes, as scripts without spaces have, counts
+as its pieces of that length, each half over the one before. ``fit`` learns from running text
+instead: at most ``sample_docs`` documents per language, each as a whole, taken in hashed order
+while they fit into ``sample_bytes``; documents longer than ``document_bytes`` are not among
+them, and a language that has only such ones is learned from the shortest. No query uses it.
 
 Defined results: null or letterless text is ``und`` with score 0, as is every text when
 nothing was learned; ties go to the first language in alphabetical order; rows are
@@ -28,17 +32,19 @@ prediction reads the text alone.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import crc32_of
+from ticklake.llm.common import crc32_of, staged
 
 UNDETERMINED = "und"
 PIECE = 1024
@@ -46,6 +52,9 @@ LANES = 4096
 WIDE = 256  # symbols
 BREAK, MARK, LETTER = 0, 1, 2  # kinds of characters
 SPREAD = 1 << 40
+MODEL_BYTES = 120_000  # of words in the automaton of a language
+WORD = 32  # bytes
+COUNTED = 500_000  # words that a task counts before it passes them on
 
 
 @dataclass
@@ -65,13 +74,18 @@ class Model:
     target: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
 
     def learn(self, language: str, sequence: np.ndarray) -> None:
-        states, start, symbol, end = suffix_automaton(sequence.tolist())
-        base, owner, target = interleaved(states, start, symbol, end)
+        self.add(language, len(sequence), *automaton(sequence))
+
+    def add(
+        self, language: str, size: int, symbol: np.ndarray, end: np.ndarray,
+        base: np.ndarray, owner: np.ndarray, target: np.ndarray,
+    ) -> None:
+        """Put in an automaton, with the symbols and ends of the edges at its start."""
         root, slot = len(self.base), len(self.owner)
         first = np.full(WIDE, root, dtype=np.int32)
-        first[symbol[start == 0]] = root + end[start == 0]
+        first[symbol] = root + end
         self.languages.append(language)
-        self.sizes.append(len(sequence))
+        self.sizes.append(size)
         self.roots = np.append(self.roots, np.int32(root))
         self.first = np.vstack([self.first, first])
         self.base = np.append(self.base, base + np.int32(slot))
@@ -133,6 +147,12 @@ def suffix_automaton(sequence: list[int]) -> tuple[int, np.ndarray, np.ndarray,
     return len(moves), columns[:, 0].copy(), columns[:, 1].astype(np.uint8), columns[:, 2].copy()
 
 
+def automaton(sequence: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Symbols and ends of the edges at the start; base of each state, owner and target of each slot."""
+    states, start, symbol, end = suffix_automaton(sequence.tolist())
+    return symbol[start == 0], end[start == 0], *interleaved(states, start, symbol, end)
+
+
 def interleaved(
     states: int, start: np.ndarray, symbol: np.ndarray, end: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,6 +197,73 @@ def interleaved(
     return base, owner, target
 
 
+def words_of(text: str) -> list[bytes]:
+    """The words of a text, long ones in overlapping pieces."""
+    found = symbols(text)[0].tobytes().split()
+    if max(map(len, found), default=0) <= WORD:
+        return found
+    return [
+        word[at : at + WORD] for word in found for at in range(0, max(len(word) - WORD // 2, 1), WORD // 2)
+    ]
+
+
+def word_counts(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang``, ``word`` and ``n`` of all texts that have a letter and a language."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = {}
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            for lang, words in seen.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.binary()),
+                     pa.array(words.values(), pa.int64())],
+                    names=["lang", "word", "n"],
+                )
+            seen.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                seen.setdefault(lang, Counter()).update(words_of(text.as_py()))
+                if sum(map(len, seen.values())) > COUNTED:
+                    yield from emptied()
+        yield from emptied()
+
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    return (
+        rows.filter(r"lang IS NOT NULL AND text RLIKE '\\p{L}'")
+        .mapInArrow(counted, "lang string, word binary, n long")
+        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    )
+
+
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", model_bytes: int = MODEL_BYTES) -> Model:
+    """Learn from all labelled rows: per language its most frequent words by their counts."""
+    counts = staged(word_counts(labelled, text_col, lang_col), "words")
+    down = Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    levels = (  # words of equal count come in or not as one, but for the last ones
+        counts.groupBy("lang", "n").agg(F.sum(F.octet_length("word") + 1).alias("bytes"))
+        .withColumn("above", F.sum("bytes").over(down) - F.col("bytes"))
+        .filter(F.col("above") < model_bytes)
+        .select("lang", "n", ((model_bytes - F.col("above")) / F.col("bytes")).alias("share"))
+    )
+    spread = F.pmod(F.xxhash64("word"), F.lit(SPREAD)) < F.col("share") * SPREAD
+    kinds = "lang string, size long, symbol binary, end binary, base binary, owner binary, target binary"
+
+    def build(words: pd.DataFrame) -> pd.DataFrame:
+        words = words.sort_values(["n", "word"], ascending=[False, True])
+        sequence = np.frombuffer(b" " + b" ".join(words["word"]) + b" ", dtype=np.uint8)
+        parts = [part.tobytes() for part in automaton(sequence)]
+        return pd.DataFrame([[words["lang"].iloc[0], len(sequence), *parts]], columns=[k.split()[0] for k in kinds.split(", ")])
+
+    chosen = counts.join(levels, ["lang", "n"]).filter(spread).groupBy("lang").applyInPandas(build, kinds)
+    model = Model()
+    for row in sorted(chosen.collect(), key=lambda r: r["lang"]):
+        symbol, *rest = row[2:]
+        model.add(row["lang"], row["size"], np.frombuffer(symbol, np.uint8), *(np.frombuffer(part, np.int32) for part in rest))
+    return model
+
+
 def fit(
     labelled: DataFrame,
     id_col: str = "doc_id",

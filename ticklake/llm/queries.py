@@ -42,7 +42,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned without the held-out third."""
     docs = table(spark, sf_dir, "documents")
-    model = language_id.fit(docs.filter(language_id.learnable(docs)))
+    model = language_id.learn(docs.filter(language_id.learnable(docs)))
     found = language_id.predictor(language_id.share(docs, model), F.col("text"))
     return docs.select(
         "doc_id", (crc32_of() % 3 == 1).alias("held_out"), found.alias("p")

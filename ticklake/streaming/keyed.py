@@ -1,15 +1,20 @@
 """Keyed folds over streams, with the state kept by Spark.
 
 These are the streaming forms of ``operators.ordered.fold`` and use the same steps. Rows
-of one key within a micro-batch are put in order before they are folded; how many that
-can be is set by the source's rate options.
+of one key within a micro-batch are put in order before they are folded: up to ``RUN_ROWS``
+of them in memory, more in sorted runs that wait in a temporary file and are merged. So a
+task holds one run, or a piece of each, however many rows a key has in a batch.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
+import pickle
+import tempfile
 from collections.abc import Iterator, MutableMapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +26,71 @@ from ticklake.operators import metrics, prices, quality, reorg
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PANDAS = {"boolean": "bool", "int": "Int32", "bigint": "Int64", "double": "float64"}
 
+# Rows of one key that are sorted in memory, and those of a run that are read at once.
+RUN_ROWS = 100_000
+PIECE_ROWS = 1_000
+
+
+def in_order(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
+    """All rows in order, in frames of at most about ``RUN_ROWS`` rows."""
+    held, count, runs, file = [], 0, [], None
+    for frame in frames:
+        if held and count + len(frame) > RUN_ROWS:
+            file = file or tempfile.TemporaryFile()
+            runs.append(_write_run(pd.concat(held).sort_values(order), file))
+            held, count = [], 0
+        held.append(frame)
+        count += len(frame)
+    if not held:
+        return
+    last = pd.concat(held).sort_values(order)
+    if file is None:
+        yield last
+        return
+    with file:
+        runs.append(_write_run(last, file))
+        del held, last, frame
+        waiting = []
+        for row in heapq.merge(*(_read_run(file, run, order) for run in runs), key=lambda row: row[0]):
+            waiting.append(row)
+            if len(waiting) >= RUN_ROWS // 4:
+                yield _gathered(waiting)
+                waiting = []
+        if waiting:
+            yield _gathered(waiting)
+
+
+def _write_run(frame: pd.DataFrame, file) -> list[int]:
+    """Where the pieces of the run begin in the file."""
+    starts = []
+    for low in range(0, len(frame), PIECE_ROWS):
+        starts.append(file.tell())
+        pickle.dump(frame.iloc[low : low + PIECE_ROWS], file, pickle.HIGHEST_PROTOCOL)
+    return starts
+
+
+def _read_run(file, starts: list[int], order: list[str]) -> Iterator[tuple]:
+    """Rows of a run: what they are ordered by, their piece and their place in it."""
+    for start in starts:
+        file.seek(start)
+        piece = pickle.load(file)
+        keys = [
+            [(null, None if null else value) for null, value in zip(piece[c].isna().tolist(), piece[c].tolist())]
+            for c in order
+        ]
+        for place, key in enumerate(zip(*keys)):
+            yield key, piece, place
+
+
+def _gathered(rows: list[tuple]) -> pd.DataFrame:
+    pieces: dict[int, tuple[pd.DataFrame, list[int], list[int]]] = {}
+    for target, (_, piece, place) in enumerate(rows):
+        _, places, targets = pieces.setdefault(id(piece), (piece, [], []))
+        places.append(place)
+        targets.append(target)
+    found = pd.concat([piece.iloc[places] for piece, places, _ in pieces.values()])
+    return found.iloc[np.argsort(np.concatenate([targets for *_, targets in pieces.values()]))]
+
 
 class FoldProcessor(StatefulProcessor):
     """Folds the rows of a key in order; the state is kept as JSON text."""
@@ -34,17 +104,18 @@ class FoldProcessor(StatefulProcessor):
         self._state = handle.getValueState("fold", "state string", self._ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(self._order)
         stored = self._state.get()[0] if self._state.exists() else self._start
-        outputs: list[list] = [[] for _ in self._outputs]
-        columns = [frame[name].tolist() for name in self._inputs]
-        state = self._step(json.loads(stored), columns, outputs)
+        state = json.loads(stored)
+        for frame in in_order(rows, self._order):
+            outputs: list[list] = [[] for _ in self._outputs]
+            columns = [frame[name].tolist() for name in self._inputs]
+            state = self._step(state, columns, outputs)
+            added = {
+                name: pd.array(values, dtype=kind) if kind else values
+                for (name, kind), values in zip(self._outputs, outputs)
+            }
+            yield frame[self._keep].assign(**added)
         self._state.update((json.dumps(state),))
-        added = {
-            name: pd.array(values, dtype=kind) if kind else values
-            for (name, kind), values in zip(self._outputs, outputs)
-        }
-        yield frame[self._keep].assign(**added)
 
     def close(self) -> None:
         pass
@@ -137,16 +208,16 @@ class ReorgProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values("arrival")
         seen = Remembered(self._seen)
-        outputs: list[list] = [[] for _ in reorg.WINDOW_OUTPUTS]
-        reorg.compare(seen, self._size, [frame[name].tolist() for name in reorg.WINDOW_INPUTS], outputs)
+        for frame in in_order(rows, ["arrival"]):
+            outputs: list[list] = [[] for _ in reorg.WINDOW_OUTPUTS]
+            reorg.compare(seen, self._size, [frame[name].tolist() for name in reorg.WINDOW_INPUTS], outputs)
+            reasons, old_arrivals, _ = outputs
+            found = frame[["source_id", "tick_number", "arrival"]].assign(
+                old_arrival=pd.array(old_arrivals, dtype="Int64"), conflict_reason=reasons
+            )
+            yield found[[reason is not None for reason in reasons]]
         seen.save()
-        reasons, old_arrivals, _ = outputs
-        found = frame[["source_id", "tick_number", "arrival"]].assign(
-            old_arrival=pd.array(old_arrivals, dtype="Int64"), conflict_reason=reasons
-        )
-        yield found[[reason is not None for reason in reasons]]
 
     def close(self) -> None:
         pass

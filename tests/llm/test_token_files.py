@@ -101,3 +101,53 @@ def test_a_word_is_looked_up_once_in_a_group():
     got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode_each(texts)]
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert ours.recent.asked <= 10
+
+
+def test_case_marks_and_digits_make_no_new_words():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    ours, library = token_files.Encoder(PATH), Tokenizer.from_file(PATH)
+    ours.recent = Counted()
+    words = [f"{form}{mark}" for word in ("theory", "été", "straße") for form in (word, word.upper(), word.title())
+             for mark in ("", ",", "...", "?!", "-2024")]
+    texts = [" ".join(words), "\n".join(reversed(words))]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode_each(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ours.recent.asked <= 12  # "STRASSE" is another word
+
+
+def test_pieces_equal_whole_texts_in_groups(monkeypatch):
+    ours, library = token_files.Encoder(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(8)
+    ascii_ = "".join(map(chr, range(128)))
+    latin = "".join(map(chr, range(0xA0, 0x100)))
+    pools = [ascii_, latin + "aZ ", ascii_ + latin, "aé́̀E ÅÅK", "don'tTHE's.'re ", "Œœİſ×÷µ a,",
+             "日本a。 é１²", "0a1.-  \x85\xa0"]
+    texts = ["".join(rng.choices(rng.choice(pools), k=rng.randrange(60))) for _ in range(3000)]
+    texts += ["a", "", "b", " ", "<|endoftext|>é<|STARTOFTEXT|>", "A<|startoftext|>B c", "it'sun 'S ''s x'LL"]
+    texts += [f"a{chr(c)}B {chr(c)}{chr(c)}" for c in range(0x250)]
+    rng.shuffle(texts)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for part, memo in ((1 << 22, 200_000), (40, 30)):
+        monkeypatch.setattr(token_files, "PART", part)
+        monkeypatch.setattr(token_files, "MEMO", memo)
+        for text, ids, right in zip(texts, ours.encode_each(texts), want):
+            assert np.frombuffer(ids, "<u4").tolist() == right, repr(text)
+    ours.simple = False
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in ours.encode_each(texts)] == want
+
+
+@pytest.mark.parametrize("width", [1, 3, 8, 13, 15, 16, 17, 31, 32])
+def test_packed_bits(width):
+    rng = random.Random(width)
+    for count in (1, 7, 8, 9, 203):
+        values = [rng.randrange(1 << width) for _ in range(count)]
+        data = token_files.packed(np.array(values, dtype=np.uint32), width)
+        whole = sum(value << (place * width) for place, value in enumerate(values))
+        assert data == whole.to_bytes((count * width + 7) // 8, "little")
+        assert token_files.unpacked(data, width, count).tolist() == values

@@ -46,9 +46,33 @@ from ticklake.llm.common import scratch, staged
 
 BLOCK = 16_384  # ids
 MEMO = 200_000  # words remembered per generation
-PART = 1 << 21  # characters whose words are looked up at a time
+PART = 1 << 22  # characters whose words are looked up at a time
+
+WHITE, LETTER, DIGIT, MARK, ODD = range(5)  # kinds of bytes
+_KIND = np.full(256, ODD, dtype=np.uint8)
+_KIND[33:127] = MARK
+_KIND[[ord("'"), ord("<")]] = ODD  # endings such as 's, and tokens that are matched in raw text
+_KIND[ord("0") : ord("9") + 1] = DIGIT
+_KIND[ord("A") : ord("Z") + 1] = _KIND[ord("a") : ord("z") + 1] = LETTER
+_KIND[[9, 10, 11, 12, 13, 32]] = WHITE
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_LATIN = np.ones(256, dtype=bool)  # whether the byte 0xC3 and this one are a letter
+_LATIN[[0x97, 0xB7]] = False
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+# The steps before the model for which a text may be cut into runs of one kind
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RULES = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _RUNS}, "behavior": "Removed", "invert": True}, _BYTES,
+    ]},
+)
 
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")  # letters, then marks
 _HEAD = struct.Struct("<4sIIIBI")
 _TAIL = struct.Struct("<QIIIQ4s")
 
@@ -57,24 +81,35 @@ def packed(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each value, one after the other."""
     if width == 0:
         return b""
-    bits = np.unpackbits(
-        values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width
-    )
-    return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    if width > 16:
+        bits = np.unpackbits(
+            values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width
+        )
+        return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    # eight values are as many bytes as one has bits: two numbers of 64 bits, cut to that
+    four = np.zeros((-(-len(values) // 8) * 8), dtype="<u8")
+    four[: len(values)] = values & np.uint32((1 << width) - 1)
+    for shift in (width, 2 * width):
+        four = four[0::2] | four[1::2] << np.uint64(shift)
+    eight = np.empty((len(four) // 2, 2), dtype="<u8")
+    eight[:, 0], eight[:, 1] = four[0::2], four[1::2]
+    if width < 16:
+        eight[:, 0] |= four[1::2] << np.uint64(4 * width)
+        eight[:, 1] >>= np.uint64(64 - 4 * width)
+    return eight.view(np.uint8)[:, :width].tobytes()[: (len(values) * width + 7) // 8]
 
 
 def unpacked(data: bytes, width: int, count: int) -> np.ndarray:
     if width == 0:
         return np.zeros(count, dtype=np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little", count=count * width).reshape(count, width)
-    wide = np.zeros((count, 32), dtype=np.uint8)
-    wide[:, :width] = bits
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
+    at = np.arange(count) * width  # each value lies in the eight bytes from the one it begins in
+    around = np.ndarray(len(data), "<u8", data + bytes(8), strides=(1,))[at >> 3]
+    return (around >> (at & 7).astype(np.uint64)).astype(np.uint32) & np.uint32((1 << width) - 1)
 
 
 def chosen_width(offsets: np.ndarray) -> int:
     """The width with the fewest bytes, exceptions counted at eight bytes each."""
-    needed = np.ceil(np.log2(offsets.astype(np.float64) + 1)).astype(np.int64)
+    needed = np.frexp(offsets.astype(np.float64))[1]
     beyond = len(offsets) - np.cumsum(np.bincount(needed, minlength=33))
     return int(np.argmin(np.arange(33) * len(offsets) / 8 + 8 * beyond))
 
@@ -153,11 +188,13 @@ def _joined(words: pa.Array) -> str:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, with a memo of words between ASCII white space.
+    """Ids of texts by the tokenizers library, with a memo of the pieces it encodes apart.
 
-    Words between white space are encoded apart: the splitting of the vocabularies used
-    here never joins across white space, which is checked when loading. Arrow splits the
-    texts and numbers their words, so Python meets each distinct word once in a group.
+    Words between ASCII white space are encoded apart: the splitting of the vocabularies used
+    here never joins across white space, which is checked when loading. Where a vocabulary
+    splits by ``_RULES``, words of ASCII and of Latin letters are cut further, in numpy, into
+    the lower-case runs of letters, digits and runs of marks that the library encodes apart.
+    Arrow numbers the pieces, so Python meets each distinct piece once in a group.
     """
 
     def __init__(self, path: str):
@@ -167,78 +204,57 @@ class Encoder:
         probe = "One two, three!  It's\n4 five"
         apart = [i for w in probe.split() for i in self._whole(w)]
         self.splits = apart == self._whole(probe)
-        # whether letters and marks are encoded apart, without regard to case
-        self.simple = self.splits and self._whole("THREE,!") == self._whole("three") + self._whole(",!")
+        spec = json.loads(self.library.to_str())
+        odd = [ODD in _KIND[list(token["content"].encode())] for token in spec["added_tokens"]]
+        self.simple = self.splits and _RULES == (spec["normalizer"], spec["pre_tokenizer"]) and all(odd)
         self.ends = np.array([
             (self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.library.get_vocab_size())
         ])
         # the same model for lower-case words of letters alone, which need no other steps
-        spec = json.loads(self.library.to_str())
-        spec["normalizer"] = None
-        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
-            {"type": "WhitespaceSplit"},
-            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
-        ]}
+        spec["normalizer"], spec["added_tokens"] = None, []
+        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, _BYTES]}
         self.plain = Tokenizer.from_str(json.dumps(spec)) if self.simple else self.library
-        self.simple &= self.plain.encode("über three", add_special_tokens=False).ids == self._whole("über three")
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}  # lower-case words of letters
-        self.marks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of distinct words."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of distinct pieces."""
         if len(self.recent) > MEMO:
             self.older, self.recent = self.recent, {}
-        if len(self.stems) > MEMO:
-            self.stems = {}
-        recent, older, plain = self.recent, self.older, _PLAIN.fullmatch
-        apart, simple = [], []
-        for word in words:
-            if word in recent:
-                continue
-            known = older.get(word)
-            if known is not None:
-                recent[word] = known
-            elif self.simple and (split := plain(word)):
-                simple.append(split)
-            else:
-                apart.append(word)
-        lower = [split[1].lower() for split in simple]
-        self._encode_plain(list(set(lower).difference(self.stems)))
-        stems, marks = self.stems, self.marks
-        for split, stem in zip(simple, lower):
-            mark = split[2]
-            if mark not in marks:
-                marks[mark] = self._bytes(self._whole(mark))
-            recent[split[0]] = stems[stem] + marks[mark] if mark else stems[stem]
-        for encoding, word in zip(self.library.encode_batch_fast(apart, add_special_tokens=False), apart):
-            recent[word] = self._bytes(encoding.ids)
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        recent, older = self.recent, self.older
+        new = [piece for piece in pieces if piece not in recent]
+        if older:
+            known = [piece for piece in new if piece in older]
+            recent.update(zip(known, map(older.__getitem__, known)))
+            new = [piece for piece in new if piece not in older]
+        plain = _PLAIN.fullmatch if self.simple else lambda piece: None
+        letters, apart = [], []
+        for piece in new:
+            (letters if plain(piece) else apart).append(piece)
+        self._encode_plain(letters)
+        for encoding, piece in zip(self.library.encode_batch_fast(apart, add_special_tokens=False), apart):
+            recent[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
 
     def _encode_plain(self, words: list[str]) -> None:
         """Words of plain letters, many in one text: each ends with its only word-end token."""
-        for at in range(0, len(words), 500):
-            group = words[at : at + 500]
+        for at in range(0, len(words), 50):
+            group = words[at : at + 50]
             ids = np.array(self.plain.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
             if len(cuts) != len(group) + 1 or cuts[-1] != 4 * len(ids):
                 raise ValueError("a word of letters has several word ends")
             data = ids.tobytes()
-            self.stems.update(zip(group, [data[low:high] for low, high in zip(cuts, cuts[1:])]))
+            self.recent.update(zip(group, [data[low:high] for low, high in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian uint32."""
         return next(self.encode_each([text]))
 
     def encode_each(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Ids of each text; words are looked up for about PART characters at a time."""
+        """Ids of each text; pieces are looked up for about PART characters at a time."""
         group: list[tuple[str, bool]] = []  # parts, and whether they end their text
         held, begun = 0, []
         for text in texts:
@@ -261,12 +277,50 @@ class Encoder:
                     break
         yield from self._encode_group(group, begun)
 
+    def _pieces(self, parts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of all parts in order, and the pieces before each part and before the end."""
+        texts = pa.array(parts, pa.large_string())
+        starts = np.frombuffer(texts.buffers()[1], np.int64, len(parts) + 1)
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8, starts[-1])
+        first = starts[:-1][starts[:-1] < len(raw)]
+        kind = _KIND[raw]
+        lower = _LOWER[raw]
+        if self.simple:
+            lead = np.flatnonzero(raw == 0xC3)  # first byte of U+00C0 to U+00FF, but for two all letters
+            second = lead[_LATIN[raw[lead + 1]]] + 1
+            kind[second] = kind[second - 1] = LETTER
+            lower[second] |= 0x20  # the second bytes of small letters have this bit
+            lower[second[raw[second] == 0x9F]] = 0x9F  # but for the sharp s
+        else:
+            kind[kind > WHITE] = ODD
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):  # whole words, as they are
+            inside = kind > WHITE
+            begins = inside.copy()
+            begins[1:] &= ~inside[:-1]
+            begins[first] = inside[first]
+            word = np.cumsum(begins, dtype=np.int32)
+            whole = np.zeros(int(word[-1]) + 1, dtype=bool)
+            whole[word[odd]] = True
+            whole = whole[word] & inside
+            kind[whole] = ODD
+            np.copyto(lower, raw, where=whole)
+        opens = kind == DIGIT
+        opens[1:] |= kind[1:] != kind[:-1]
+        opens[first] = True
+        inside = kind > WHITE
+        opens &= inside
+        cuts = np.append(np.flatnonzero(opens[inside]), np.count_nonzero(inside))
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(lower[inside])]
+        pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, buffers)
+        return pieces, np.searchsorted(np.flatnonzero(opens), starts)
+
     def _encode_group(self, group: list[tuple[str, bool]], begun: list[bytes]) -> Iterator[bytes]:
-        """Each distinct word of the parts is looked up once; the rest is done on its number."""
+        """Each distinct piece of the parts is looked up once; the rest is done on its number."""
         if not group:
             return
-        split = pc.ascii_split_whitespace(pa.array([part for part, _ in group], pa.large_string()))
-        coded = split.flatten().dictionary_encode()
+        pieces, before = self._pieces([part for part, _ in group])
+        coded = pieces.dictionary_encode()
         distinct = _joined(coded.dictionary).split(" ") if len(coded.dictionary) else []
         self._learn(distinct)
         found = list(map(self.recent.__getitem__, distinct))
@@ -277,7 +331,7 @@ class Encoder:
         ends = np.concatenate([[0], np.cumsum(size)])
         shift = (np.cumsum(sizes) - sizes)[number] - ends[:-1]
         ids = data[np.repeat(shift, size) + np.arange(ends[-1])]
-        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        bounds = ends[before].tolist()
         for (_, last), low, high in zip(group, bounds, bounds[1:]):
             begun.append(ids[low:high].tobytes())
             if last:

@@ -46,6 +46,21 @@ def test_running(spark, group_rows, inclusive):
     assert {(r.k, r.at): tuple(r)[3:] for r in got.collect()} == expected
 
 
+def test_sums_of_decimals_keep_their_last_place(spark):
+    rows = hot_rows(3)
+    df = spark.createDataFrame(rows, "k string, at int, v int").repartition(5)
+    tiny = {"total": ("sum", (F.when(F.col("v") > 0, F.col("v")) / 1_000_000_000).cast("decimal(28,9)"))}
+    whole, split = (running(df, ["k"], ["at"], tiny, inclusive=True, group_rows=n) for n in (None, SPLIT))
+    assert split.dtypes == whole.dtypes
+    units, past = {}, {}
+    for k, at, v in rows:
+        if v > 0:
+            past[k] = past.get(k, 0) + v
+        units[k, at] = past.get(k)
+    for got in (whole, split):
+        assert {(r.k, r.at): r.total and int(r.total.scaleb(9)) for r in got.collect()} == units
+
+
 def observed(spark, seed):
     rng = random.Random(seed)
     rows, at = [], 0

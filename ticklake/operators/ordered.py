@@ -93,9 +93,14 @@ def _slice_total(kind: str, value: Column, order: Sequence[str]) -> Column:
     return _RUNNING[kind](value)
 
 
-def _join_carry(kind: str, local: Column, carry: Column) -> Column:
+def _join_carry(kind: str, local: Column, carry: Column, data_type: T.DataType) -> Column:
     if kind == "sum":
-        return F.coalesce(local + carry, local, carry)
+        total = local + carry
+        if isinstance(data_type, T.DecimalType) and data_type.precision == 38:
+            # Adding decimals of 38 digits rounds the last place away, of 37 digits it does not.
+            exact = T.DecimalType(37, data_type.scale)
+            total = local.cast(exact) + carry.cast(exact)
+        return F.when(local.isNull(), carry).when(carry.isNull(), local).otherwise(total)
     if kind == "max":
         return F.greatest(local, carry)
     if kind == "min":
@@ -155,7 +160,7 @@ def running(
         local = joined.select(
             *[F.col(f"l.{c}") for c in inputs.columns],
             *[
-                _join_carry(kind, F.col(f"l.{name}"), F.col(f"r._c_{name}")).alias(name)
+                _join_carry(kind, F.col(f"l.{name}"), F.col(f"r._c_{name}"), local.schema[name].dataType).alias(name)
                 for name, (kind, _) in values.items()
             ],
         )

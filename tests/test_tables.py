@@ -336,3 +336,23 @@ def test_a_batch_of_one_time_is_not_dealt_by_hour(spark, tmp_path, monkeypatch):
     ingest.ingest_batch(ticks, f"{tmp_path}/checked", 0, validate=True)
     assert [c for c in hints if "conflict_reason" not in c] == []
     assert lookup.live(ingest.stored_ticks(spark, f"{tmp_path}/plain")).count() > 100
+
+
+def test_a_batch_is_not_kept_for_its_writes(spark, tmp_path, monkeypatch):
+    """Whole nested ticks stay out of the executors' storage, and are sorted after the shuffle only."""
+    kept, plans = [], []
+    persist, save = DataFrame.persist, tables.replace_partitions
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    monkeypatch.setattr(
+        tables, "replace_partitions",
+        lambda rows, *a: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or save(rows, *a),
+    )
+    orders = spark.createDataFrame([(k, k % 3) for k in range(200)], "o_orderkey bigint, o_custkey bigint")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    ticks = adapters.nested_ticks(spark, str(tmp_path))
+    ingest.ingest_batch(ticks, f"{tmp_path}/plain", 0)
+    assert kept == [] and len(plans) == 2
+    assert all("Sort" not in plan.split("Exchange")[-1] for plan in plans)
+    got = lookup.live(ingest.stored_ticks(spark, f"{tmp_path}/plain")).select("tick_number").collect()
+    filled = ticks.filter("exists(transactions, t -> t.transaction IS NOT NULL)").select("tick_number").distinct()
+    assert sorted(got) == sorted(filled.collect())

@@ -179,12 +179,10 @@ def ingest_batch(
     """Check (optionally) and store one batch of nested ticks."""
     spark = ticks.sparkSession
     at = batch_time(spark, root, batch_id, clock)
-    # Read once for the several writes of the batch.
+    # The batch is read again for each write: kept for all of them, it would fill memory and disk.
     accepted, held = ticks, []
     try:
-        if not validate:
-            held = [ticks.persist()]
-        else:
+        if validate:
             accepted, quarantined, events, held = check_batch(ticks, root, batch_id, at, strict)
             _write_batch(quarantined, f"{root}/quarantine", batch_id, wide=True)
             found = events.withColumn("at", _utc(at))

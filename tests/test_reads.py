@@ -9,9 +9,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from ticklake.operators import candles as c
-from ticklake.operators import lookup
+from ticklake.operators import lookup, parse
 from ticklake.plans import adapters
 
 DAY = datetime(2024, 3, 1)
@@ -230,3 +231,47 @@ def test_full_hashes_are_found_in_one_reading(spark):
     read = plan(found)
     assert read.count("payload_size#") > 0 and read.count("Join") == 1
     assert read.count("Exchange hashpartitioning") <= 3
+
+
+def test_prefixes_sort_beginnings_only(spark, monkeypatch):
+    """Hashes are sorted by as many characters as the longest prefix has; equal ranks go by text."""
+    start = datetime(2024, 1, 1)
+    schema = "tick_number long, sequence_number int, tx_hash string, processed_at timestamp_ntz, version int"
+    hashes = [f"{i % 3}{i:063x}" for i in range(300)] + ["7A" * 32, "7a" * 32, "7z" * 32]
+    stored = [(1, 1, h, start, 1) for h in hashes]
+    rows = transactions(spark).filter("false").unionByName(
+        spark.createDataFrame(stored, schema), allowMissingColumns=True
+    )
+    sorted_rows = []
+    cut = lookup.cut
+    monkeypatch.setattr(lookup, "cut", lambda df, *a: sorted_rows.append(df.count()) or cut(df, *a))
+    wanted = spark.createDataFrame([(w,) for w in ["0", "1", "7", "70", hashes[4]]], "wanted string")
+    found = lookup.find_transactions(rows, wanted)
+    top = {w: max(h for h in hashes if h.startswith(w)) for w in ("0", "1", "7")}
+    assert {r.wanted: r.tx_hash for r in found.collect()} == top | {hashes[4]: hashes[4]}
+    assert sorted_rows[0] <= 4 + len({h[:2] for h in hashes}) < 12
+
+
+def test_packed_texts_come_back(spark):
+    given = [b"ab", b"abc", b"AB", b"\xff\xfe\x00", b"", None, b"\x00", b"0a\n", b"\xab", b"\x01\xab", b"00"]
+    rows = spark.createDataFrame([(None if g is None else bytearray(g),) for g in given], "g binary")
+    got = rows.select("g", parse.packed("g").alias("p")).withColumn("u", parse.unpacked("p").cast("binary")).collect()
+    assert all(r.g == r.u for r in got)
+    assert len({bytes(r.p) for r in got if r.p is not None}) == len(given) - 1
+    assert len(next(r.p for r in got if r.g == b"ab")) == 2
+
+
+def test_hexadecimal_texts_travel_as_bytes(spark, monkeypatch):
+    dealt = []
+    repartition = DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *a: dealt.append(self) or repartition(self, *a))
+    keys = [b"0a" * 32, b"\xff" * 32, b"0A" * 32, None]
+    rows = transactions(spark).limit(0).union(spark.createDataFrame(
+        [(1, n, "ab" * 32, f"id{n}", 1, b"", 1, key and bytearray(key), bytearray(b"00" * 32), 1, at(n), 0, None, 1)
+         for n, key in enumerate(keys)], transactions(spark).schema,
+    ))
+    (found,) = lookup.tick_documents(ticks(spark), rows, numbers=[1], document_rows=None).collect()
+    assert [t.public_key for t in found.transactions] == [key.hex() if key else None for key in keys]
+    assert {(t.tx_hash, t.signature) for t in found.transactions} == {("ab" * 32, (b"00" * 32).hex())}
+    moved = dealt[0].select(*[F.octet_length(c) for c in ("tx_hash", "signature", "public_key")]).collect()
+    assert sorted(moved, key=lambda r: r[2] or 0) == [(33, 33, None), (33, 33, 33), (33, 33, 33), (33, 33, 65)]

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame as ClassicFrame
 
 from test_quality import HASH, NOW, entry, frame, tick
 from ticklake import schemas
@@ -341,8 +342,8 @@ def test_a_batch_of_one_time_is_not_dealt_by_hour(spark, tmp_path, monkeypatch):
 def test_a_batch_is_not_kept_for_its_writes(spark, tmp_path, monkeypatch):
     """Whole nested ticks stay out of the executors' storage, and are sorted after the shuffle only."""
     kept, plans = [], []
-    persist, save = DataFrame.persist, tables.replace_partitions
-    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    persist, save = ClassicFrame.persist, tables.replace_partitions
+    monkeypatch.setattr(ClassicFrame, "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
     monkeypatch.setattr(
         tables, "replace_partitions",
         lambda rows, *a: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or save(rows, *a),

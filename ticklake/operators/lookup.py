@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ticklake import schemas
 from ticklake.functions.payload import decode_bytes, decoded_json
+from ticklake.functions.session import cut_lineage
 from ticklake.operators.ordered import running
-from ticklake.operators.parse import lower_hex, null_to_empty, read_defaults
+from ticklake.operators.parse import lower_hex, null_to_empty, packed, read_defaults, unpacked
 from ticklake.operators.slices import cut
 
 # Defaults and limits of the reads.
@@ -246,24 +247,33 @@ def find_transactions(
 ) -> DataFrame:
     """``find_transaction`` for a table of hashes and prefixes (column ``wanted``).
 
-    The rows of full hashes meet them in one shuffle by hash, where the newest is taken.
-    Prefixes are nested ranges of the order of texts, so one sort of slim rows finds them all
-    (``_newest_per_prefix``); no row is repeated by length of prefix. Only the rows found are
-    read with their payloads.
+    Rows meet the hashes in one shuffle by hash, which travels as its bytes, and the newest is
+    taken there. What a prefix finds is the newest row of its hash too, so for prefixes only
+    that hash is looked for (``_newest_per_prefix``), among slim rows; no row is repeated by
+    length of prefix.
     """
     rows = live(transactions)
-    texts = wanted.select("wanted").filter("wanted IS NOT NULL").distinct()
-    whole = texts.filter(F.length("wanted") >= FULL_HASH)
-    prefixes = texts.filter(F.length("wanted") < FULL_HASH)
-    hashed = rows.withColumn("wanted", F.col("tx_hash"))
-    newest = current(hashed.join(whole, "wanted", "left_semi"), ["wanted"], _RANK)
-    if not prefixes.isEmpty():
-        best = _newest_per_prefix(rows, prefixes, slices)
-        found = best.select("wanted", *[F.col(f"best.{c}").alias(f"_{c}") for c in _RANK])
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _RANK]
-        copies = rows.join(found, same).drop(*[f"_{c}" for c in _RANK])
-        newest = newest.unionByName(current(copies, ["wanted"], _RANK))
-    return shown_transactions(newest, keep=("wanted",))
+    texts = wanted.select("wanted").filter("wanted IS NOT NULL")
+    whole = texts.filter(F.length("wanted") >= FULL_HASH).select(packed("wanted").alias("tx_hash"))
+    # Read several times; what they are made from may be as large as the transactions.
+    prefixes = cut_lineage(texts.filter(F.length("wanted") < FULL_HASH).distinct())
+    longest = prefixes.agg(F.max(F.length("wanted"))).first()[0]
+    met = rows.withColumn("tx_hash", packed("tx_hash")).join(
+        whole.distinct().withColumn("_whole", F.lit(True)), "tx_hash", "left"
+    )
+    asked, is_met = F.array().cast("array<string>"), F.col("_whole")
+    if longest is not None:
+        best = _newest_per_prefix(rows, prefixes, longest, slices)
+        by_prefix = best.groupBy(packed("best.tx_hash").alias("tx_hash")).agg(
+            F.collect_list("wanted").alias("_asked")
+        )
+        met = met.join(by_prefix, "tx_hash", "left")
+        asked, is_met = F.coalesce("_asked", asked), is_met | F.col("_asked").isNotNull()
+    newest = current(met.filter(is_met), ["tx_hash"], _RANK[:-1])
+    found = newest.withColumn("tx_hash", unpacked("tx_hash")).withColumn(
+        "wanted", F.explode(F.array_compact(F.array_append(asked, F.when(F.col("_whole"), F.col("tx_hash")))))
+    )
+    return shown_transactions(found, keep=("wanted",))
 
 
 _RANK = ["processed_at", "tick_number", "sequence_number", "tx_hash"]
@@ -273,9 +283,14 @@ def _rank() -> Column:
     return F.struct(*_RANK)
 
 
-def _newest_per_prefix(rows: DataFrame, prefixes: DataFrame, slices: int | None) -> DataFrame:
+def _newest_per_prefix(
+    rows: DataFrame, prefixes: DataFrame, longest: int, slices: int | None
+) -> DataFrame:
     """The newest rank (column ``best``) per prefix that a live row has.
 
+    Hashes count by as many characters as the longest prefix has: tasks keep the newest of each
+    such beginning, so that short prefixes leave few rows to sort.
+
     Of the prefixes that sort up to a hash the last one, or prefixes of it, are all that the
     hash can have. So prefixes with the list of those that they begin with and hashes are
     sorted together, the last list is carried on to the hashes, and a hash counts for the
@@ -288,7 +303,8 @@ def _newest_per_prefix(rows: DataFrame, prefixes: DataFrame, slices: int | None)
         .groupBy("text")
         .agg(F.array_sort(F.collect_list("wanted")).alias("nest"))
     )
-    hashes = rows.select(F.col("tx_hash").alias("text"), _rank().alias("best"))
+    begun = F.left("tx_hash", F.lit(longest)).alias("text")
+    hashes = rows.filter("tx_hash IS NOT NULL").groupBy(begun).agg(F.max(_rank()).alias("best"))
     mixed = nests.unionByName(hashes, allowMissingColumns=True).withColumn("all", F.lit(0))
     order = ["text", "best"]  # a prefix, which has no rank, comes before equal hashes
     cells = cut(mixed, ["all"], order, slices)

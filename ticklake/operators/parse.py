@@ -16,6 +16,23 @@ def lower_hex(data: Column | str) -> Column:
     return F.lower(F.hex(data))
 
 
+def packed(text: Column | str) -> Column:
+    """A text, or the bytes of one, in fewer bytes for a shuffle: lower-case hexadecimal as what
+    it stands for. The first byte tells which, so different texts stay different."""
+    text = F.col(text) if isinstance(text, str) else text
+    stands = text.cast("string").rlike(r"\A([0-9a-f]{2})+\z")
+    return F.when(stands, F.concat(F.lit(b"\x01"), F.unhex(text.cast("string")))).otherwise(
+        F.concat(F.lit(b"\x00"), text.cast("binary"))
+    )
+
+
+def unpacked(data: Column | str) -> Column:
+    """The bytes or text that ``packed`` was given, as text."""
+    data = F.col(data) if isinstance(data, str) else data
+    rest = F.substring(data, 2, 2**31 - 1)
+    return F.when(F.substring(data, 1, 1) == F.lit(b"\x01"), lower_hex(rest)).otherwise(rest.cast("string"))
+
+
 def payload_size(payload: Column | str) -> Column:
     return F.coalesce(F.octet_length(payload), F.lit(0)).cast("int")
 

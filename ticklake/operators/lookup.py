@@ -142,6 +142,14 @@ def _only(rows: DataFrame, numbers: Sequence[int] | None) -> DataFrame:
     return rows if numbers is None else rows.filter(F.col("tick_number").isin(list(numbers)))
 
 
+_TICK_HASHES = ["vdf_input", "vdf_output", "transaction_batch_hash", "previous_output"]
+
+
+def _read_ticks(joined: DataFrame) -> DataFrame:
+    """Ticks of ``_dealt`` as readers see them."""
+    return read_defaults(joined.withColumns({c: unpacked(c) for c in _TICK_HASHES}))
+
+
 # Stands for the place of a transaction without sequence number, so that plain equality joins it.
 _NO_PLACE = -(2**63)
 
@@ -149,14 +157,17 @@ _NO_PLACE = -(2**63)
 def _dealt(
     ticks: DataFrame, transactions: DataFrame, numbers: Sequence[int] | None, rows_each: int | None
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Current ticks, one row per cell, current transactions, and the columns of a cell.
+    """Current ticks as stored, with hashes ``packed``, one row per cell, current transactions,
+    and the columns of a cell.
 
     A cell is a tick, or ``rows_each`` sequence numbers of one, so that a tick with most of
     the transactions is many cells. Transactions are dealt by cell once, with their payloads
     as stored; picking the current ones, nesting and the join with the ticks all follow in
     the same tasks. Ticks without transactions have one row, with a null ``_cell``.
     """
-    head = read_defaults(current_ticks(_only(ticks, numbers)))
+    # Texts in hexadecimal travel as the bytes they stand for.
+    packed_ticks = _only(ticks, numbers).withColumns({c: packed(c) for c in _TICK_HASHES})
+    head = current_ticks(packed_ticks)
     rows = live(_only(transactions, numbers))
     cell = ["tick_number"]
     if rows_each is not None:
@@ -164,14 +175,12 @@ def _dealt(
         place = F.floor(F.col("sequence_number") / F.lit(rows_each))
         rows = rows.withColumn("_cell", F.coalesce(place, F.lit(_NO_PLACE)))
         head = head.join(rows.select(*cell).distinct(), "tick_number", "left")
-    # A hash travels as its bytes, if it is lower-case hexadecimal, else as it is.
-    packed = F.when(F.col("tx_hash").rlike(r"\A([0-9a-f]{2})+\z"), F.unhex("tx_hash"))
+    texts = ["tx_hash", "public_key", "signature"]
+    kinds = dict(rows.dtypes)
     dealt = (
-        rows.withColumn("_packed", packed)
-        .withColumn("tx_hash", F.when(F.col("_packed").isNull(), F.col("tx_hash")))
+        rows.withColumns({c: packed(c) for c in texts})
         .repartition(*cell)
-        .withColumn("tx_hash", F.coalesce(lower_hex("_packed"), "tx_hash"))
-        .drop("_packed")
+        .withColumns({c: unpacked(c).cast(kinds[c]) for c in texts})
     )
     return head, current(dealt, [*cell, "sequence_number"], ("processed_at", "tx_hash")), cell
 
@@ -190,7 +199,7 @@ def tick_transactions(
             if c != "tick_number"
         ],
     )
-    return head.join(renamed, cell, "left").select(
+    return _read_ticks(head.join(renamed, cell, "left")).select(
         *[c for c in head.columns if c not in cell[1:]],
         *[c for c in renamed.columns if c not in cell],
     )
@@ -221,7 +230,7 @@ def tick_documents(
     )
     none = F.col("_stored").isNull()
     shown = F.transform("_stored", lambda row: F.struct(*_shown(row.getField)))
-    return head.join(nested, cell, "left").select(
+    return _read_ticks(head.join(nested, cell, "left")).select(
         *[c for c in head.columns if c not in cell[1:]],
         F.when(none, F.lit(0).cast("bigint")).otherwise(F.col("part")).alias("part"),
         F.coalesce(shown, F.array()).alias("transactions"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,12 @@ def test_every_lettered_document_has_a_language(spark, docs):
         kept = pipeline.identify_language(spark, given, SMALL).select("doc_id", "text").collect()
         want = [(r["doc_id"], r["text"]) for r in given.collect() if any(c.isalpha() for c in r["text"] or "")]
         assert sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
+def test_all_labelled_documents_are_learned_from(spark, docs):
+    """Also those that op3 holds out, be they the only ones with a label."""
+    schema = docs.drop("content", "row_key").schema
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 == 1]
+    rows = [(i, "words of one language only", "en", "s", 1) for i in held[:5]] + [(held[9], "more words", None, "s", 1)]
+    kept = pipeline.identify_language(spark, spark.createDataFrame(rows, schema), SMALL)
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticklake import schemas
 from ticklake.operators import quality, reorg
-from ticklake.operators.ordered import fold_with_states
+from ticklake.operators.ordered import fold_kept, fold_with_states
 from ticklake.plans import quality_plans
 
 NOW = datetime(2024, 5, 1, 12, 0)
@@ -226,3 +227,35 @@ def test_severity_checks_ticks_once(spark, tmp_path):
         rows.explain()
     assert "Join" not in out.getvalue()
     assert rows.count() == 200 and rows.select("severity").distinct().count() == 3
+
+
+@pytest.mark.parametrize("one", [c[0] for c in CASES] + [
+    tick(transactions=None), tick(transactions=[None]), tick(transactions=[entry(body=None)]),
+    tick(transactions=[entry(), entry(body=None)]), tick(vdf_proof=None, transactions=[None]),
+])
+def test_lacking_parts_are_the_critical_issues(spark, one):
+    rows = quality.tick_issues(frame(spark, [one]), NOW, True)
+    assert rows.select(quality.lacks_parts() == quality.is_critical()).first()[0]
+
+
+@pytest.mark.parametrize("group_rows", [None, 20])
+def test_fold_kept_is_the_fold(spark, group_rows):
+    """Rows that meet the condition, and the states, of one shuffle; with keys whole and split."""
+    rng = random.Random(3)
+    rows = spark.createDataFrame(
+        [(rng.choice("aab"), i, rng.randrange(9), rng.choice([HASH, "zz", None, "0A"]), "b", "p", 1) for i in range(200)],
+        "source_id string, arrival long, tick_number long, output string, batch_hash string, previous_output string, tx_count int",
+    )
+    start = spark.createDataFrame([("=a", '{"3": [-1, "q", "b", "p", 1]}')], "_key string, state string")
+    arguments = (
+        rows, ["source_id"], ["arrival"], reorg.window_step(4), {},
+        {n: F.col(n) for n in reorg.WINDOW_INPUTS}, reorg.WINDOW_OUTPUTS,
+    )
+    wanted, states = fold_with_states(*arguments, group_rows=group_rows, start=start)
+    hit = F.col("conflict_reason").isNotNull()
+    got, ends, held = fold_kept(*arguments, hit, ["source_id", "arrival"], ["output"], group_rows, start)
+    names = ["source_id", "arrival", *[f.name for f in reorg.WINDOW_OUTPUTS]]
+    assert got.columns == names and got.count() > 10
+    assert sorted(got.collect()) == sorted(wanted.filter(hit).select(*names).collect())
+    assert sorted(ends.collect()) == sorted(states.collect())
+    held.unpersist()

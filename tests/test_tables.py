@@ -12,7 +12,7 @@ from pyspark.sql.classic.dataframe import DataFrame as ClassicFrame
 from test_quality import HASH, NOW, entry, frame, tick
 from ticklake import schemas
 from ticklake.functions.session import scratch_path
-from ticklake.operators import lookup, metrics, prices, quality, reorg, rollups
+from ticklake.operators import lookup, metrics, ordered, prices, quality, reorg, rollups
 from ticklake.plans import adapters
 from ticklake.sinks import folders, tables, upkeep
 from ticklake.sources import ticks as sources
@@ -357,3 +357,29 @@ def test_a_batch_is_not_kept_for_its_writes(spark, tmp_path, monkeypatch):
     got = lookup.live(ingest.stored_ticks(spark, f"{tmp_path}/plain")).select("tick_number").collect()
     filled = ticks.filter("exists(transactions, t -> t.transaction IS NOT NULL)").select("tick_number").distinct()
     assert sorted(got) == sorted(filled.collect())
+
+
+def test_whole_ticks_are_not_kept_by_the_checks(spark, tmp_path, monkeypatch):
+    """Checked ingest keeps slim frames only and folds once; hashes come back as they were."""
+    kept, folds = [], []
+    persist, emit = ClassicFrame.persist, ordered._emit_both
+    monkeypatch.setattr(ClassicFrame, "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    monkeypatch.setattr(ordered, "_emit_both", lambda *a: folds.append(a[2]) or emit(*a))
+    texts = [HASH, "AB" * 32, "", None, "zz", "0a" * 32]
+    rows = [
+        tick(n, transaction_batch_hash=texts[n % 6], transactions=[entry(1, texts[n % 6])])
+        for n in range(1, 30)
+    ]
+    stale = [tick(7, arrival=40), tick(3, arrival=41, previous_output="cd" * 32), tick(4, arrival=42, timestamp=0)]
+    lacking = [tick(50, arrival=50, vdf_proof=None, transaction_batch_hash="AB")]
+    root = f"{tmp_path}/root"
+    ingest.ingest_batch(frame(spark, rows + stale + lacking), root, 0, validate=True, clock=lambda: NOW)
+    assert kept and all("transactions" not in columns and "vdf_proof" not in columns for columns in kept)
+    assert len(folds) == 2 and all("output" not in keep for keep in folds)
+    got = {r.tick_number: r for r in ingest.stored_ticks(spark, root).collect()}
+    assert set(got) == set(range(1, 30))
+    assert all((got[n].transaction_batch_hash or "") == (texts[n % 6] or "") for n in got if n not in (3, 4, 7))
+    assert got[3].previous_output == "cd" * 32 and got[3].transaction_batch_hash == HASH
+    held = {r.arrival: r for r in spark.read.parquet(f"{root}/quarantine").collect()}
+    assert set(held) == {50} and held[50].transaction_batch_hash == "AB"
+    assert held[50].transactions[0].tx_hash == HASH

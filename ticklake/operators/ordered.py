@@ -22,8 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ticklake.functions.session import cut_lineage, shuffle_partitions
+from ticklake.operators.parse import packed, unpacked
 
 SLICE = "_slice"
 KEY = "_key"
@@ -254,30 +256,58 @@ def _emit(walker_args, out_fields, keep):
     return run
 
 
-def _emit_states(walker_args):
-    """One row per key and slice with the state after its last row there."""
-
-    def rows(ended):
-        keys, slices, states = zip(*ended)
-        return pa.RecordBatch.from_pydict(
+def _state_rows(ended) -> list[pa.RecordBatch]:
+    if not ended:
+        return []
+    keys, slices, states = zip(*ended)
+    return [
+        pa.RecordBatch.from_pydict(
             {
                 KEY: pa.array(keys, pa.string()),
                 SLICE: pa.array(slices, pa.int32()),
                 "state": pa.array(states, pa.string()),
             }
         )
+    ]
+
+
+def _emit_states(walker_args):
+    """One row per key and slice with the state after its last row there."""
 
     def run(batches):
         walker = _Walker(*walker_args)
         for batch in batches:
             if batch.num_rows:
                 walker.fold(batch)
-                ended = walker.take_ended()
-                if ended:
-                    yield rows(ended)
-        ended = walker.finish()
-        if ended:
-            yield rows(ended)
+                yield from _state_rows(walker.take_ended())
+        yield from _state_rows(walker.finish())
+
+    return run
+
+
+def _emit_both(walker_args, out_fields, keep, schema: pa.Schema):
+    """Rows with the outputs of the fold, and rows of ``_emit_states`` with nothing else."""
+
+    def full(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = set(batch.schema.names)
+        columns = [
+            _column(batch, f.name) if f.name in held else pa.nulls(batch.num_rows, f.type) for f in schema
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    def run(batches):
+        walker = _Walker(*walker_args)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            outputs = walker.fold(batch)
+            added = [pa.array(v, type=f.type) for v, f in zip(outputs, out_fields)]
+            yield full(pa.RecordBatch.from_arrays(
+                [*[_column(batch, name) for name in keep], *added],
+                names=[*keep, *[f.name for f in out_fields]],
+            ))
+            yield from map(full, _state_rows(walker.take_ended()))
+        yield from map(full, _state_rows(walker.finish()))
 
     return run
 
@@ -356,10 +386,63 @@ def fold_with_states(
     ``start`` has the same shape and gives the states to go on from; a key that occurs
     only there keeps its state.
     """
+    rows, arguments, keep, kept, fields = _prepared(
+        df, keys, order, step, init, inputs, outputs, group_rows, start
+    )
+    out = rows.mapInArrow(_emit(arguments, fields, keep), T.StructType([*kept, *outputs]))
+    if MARK in keep:
+        out = out.filter(F.col(MARK) == 1).drop(MARK)
+    ended = rows.mapInArrow(_emit_states(arguments), f"{KEY} string, {SLICE} int, state string")
+    return out, _last_states(ended)
+
+
+def fold_kept(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    step: Step,
+    init,
+    inputs: dict[str, Column],
+    outputs: list[T.StructField],
+    only: Column,
+    stays: Sequence[str] | None = None,
+    hashes: Sequence[str] = (),
+    group_rows: int | None = None,
+    start: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``fold_with_states`` for those who need few of the rows, the ones that meet ``only``, and
+    of these the columns that ``stays`` names. Rows are shuffled and folded once for both
+    results, with the inputs that are ``hashes`` packed; the results come from the third frame,
+    which is kept until it is unpersisted."""
+    stays = df.columns if stays is None else stays
+    rows, arguments, keep, kept, fields = _prepared(
+        df, keys, order, step, init, inputs, outputs, group_rows, start, stays, hashes
+    )
+    states = [T.StructField(KEY, T.StringType()), T.StructField(SLICE, T.IntegerType()), T.StructField("state", T.StringType())]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in [*kept, *outputs, *states]])
+    both = rows.mapInArrow(_emit_both(arguments, fields, keep, to_arrow_schema(schema)), schema)
+    row = F.col(KEY).isNull() & (F.col(MARK) == 1 if MARK in keep else F.lit(True))
+    held = both.filter((row & only) | F.col(KEY).isNotNull()).persist()
+    out = held.filter(F.col(KEY).isNull()).select(*stays, *[f.name for f in outputs])
+    return out, _last_states(held.filter(F.col(KEY).isNotNull()).select(KEY, SLICE, "state")), held
+
+
+def _last_states(ended: DataFrame) -> DataFrame:
+    return ended.groupBy(KEY).agg(F.max_by("state", SLICE).alias("state"))
+
+
+def _prepared(
+    df, keys, order, step, init, inputs, outputs, group_rows, start, stays=None, hashes=()
+) -> tuple:
+    """Rows in the order of the fold, arguments of the walker, names and fields of the columns that
+    stay (all of ``df``, or those named), and Arrow fields of the outputs. Inputs that are
+    ``hashes`` are shuffled packed."""
     limit = group_rows or GROUP_ROWS
     names = [f"_in_{name}" for name in inputs]
-    rows = df.withColumns(
-        {KEY: _key_text(keys), **{f"_in_{n}": c for n, c in inputs.items()}}
+    moved = {f"_in_{n}": packed(c) if n in hashes else c for n, c in inputs.items()}
+    stays = df.columns if stays is None else list(stays)
+    rows = df.withColumns({KEY: _key_text(keys), **moved}).select(
+        *dict.fromkeys([*stays, *order, KEY, *moved])
     )
     marked = start is not None
     sort = [KEY, *order]
@@ -369,22 +452,20 @@ def fold_with_states(
         states = start.select(KEY, F.col("state").alias(STORED), F.lit(0).alias(MARK))
         rows = rows.unionByName(states, allowMissingColumns=True)
         sort = [KEY, MARK, *order]
+    unpack = {f"_in_{n}": unpacked(f"_in_{n}") for n in hashes}
     largest, total = group_sizes(df, keys)
     seeds = None
     if largest <= limit:
         rows = rows.repartition(KEY).sortWithinPartitions(*sort)
     else:
         rows = _range_slices(rows, sort, total, limit)
-        seeds = _settle_seeds(rows, step, init, names, len(outputs), marked)
+        seeds = _settle_seeds(rows.withColumns(unpack), step, init, names, len(outputs), marked)
     arguments = (step, init, names, len(outputs), seeds, marked)
-    keep = [*df.columns, *([MARK] if marked else [])]
+    rows = rows.withColumns(unpack)
+    keep = [*stays, *([MARK] if marked else [])]
     kept = [T.StructField(f.name, f.dataType) for f in rows.select(*keep).schema.fields]
     fields = [pa.field(f.name, _ARROW[f.dataType.simpleString()]) for f in outputs]
-    out = rows.mapInArrow(_emit(arguments, fields, keep), T.StructType([*kept, *outputs]))
-    if marked:
-        out = out.filter(F.col(MARK) == 1).drop(MARK)
-    ended = rows.mapInArrow(_emit_states(arguments), f"{KEY} string, {SLICE} int, state string")
-    return out, ended.groupBy(KEY).agg(F.max_by("state", SLICE).alias("state"))
+    return rows, arguments, keep, kept, fields
 
 
 def fold(

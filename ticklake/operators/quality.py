@@ -295,6 +295,13 @@ def is_sound(now: datetime, strict: bool = False) -> Column:
     return sound
 
 
+def lacks_parts() -> Column:
+    """Whether a nested tick breaks a critical rule that needs no other tick: the proof, an
+    entry or its transaction is null. Other critical rules are about the sequence."""
+    part = F.exists("transactions", lambda e: e.isNull() | e["transaction"].isNull())
+    return F.col("vdf_proof").isNull() | F.coalesce(part, F.lit(False))
+
+
 def _none() -> Column:
     return F.array().cast(f"array<{_ISSUE}>")
 

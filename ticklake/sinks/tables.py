@@ -54,12 +54,13 @@ def write_rows(
     newest: Sequence[str] = ("processed_at",),
     columns: Sequence[str] | None = None,
     one_time: bool = False,
+    dealt: bool = False,
 ) -> None:
     """Upsert by appending: within the batch the newest row of a key is kept, and readers
     take the newest row over all batches (see ``read_current``). ``columns`` are those to
     store, when ``newest`` names others. With ``one_time`` all rows have the same time; they are
-    dealt by key as they come and sorted there only."""
-    if one_time:
+    dealt by key as they come and sorted there only; ``dealt`` tells that they already are."""
+    if one_time and not dealt:
         rows = rows.repartition(*keys)
     latest = current(rows, keys, newest).select(*(columns or rows.columns))
     dated = with_partitions(latest, "processed_at", batch_id)
